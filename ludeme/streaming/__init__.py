@@ -1,0 +1 @@
+"""ludeme.streaming"""
