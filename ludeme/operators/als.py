@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from ludeme.plans.session import default_parallelism, ensure_checkpoint_dir
 from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, USER_ID
 
-# Fixed defaults of the notebook's first model.
-ROWS_PER_BLOCK = 250_000
+ROWS_PER_BLOCK = 100_000
 
 
 @dataclass(frozen=True)

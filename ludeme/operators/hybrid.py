@@ -63,10 +63,11 @@ def content_scores(pairs: DataFrame, profiles: DataFrame, vectors: DataFrame,
 
 
 def hybrid_recs(model: ALSModel, items: IndexModel, train: DataFrame, vectors: DataFrame,
-                n: int = 10, candidates: int = 30, weight: float = 0.7) -> DataFrame:
+                n: int = 10, candidates: int = 30, weight: float = 0.7,
+                num_users: int | None = None) -> DataFrame:
     """Top-n per user by ``weight * ALS score + (1 - weight) * content score``
     among the ALS top-``candidates``; a missing content score counts as 0."""
-    cand = attach_titles(flatten(recommend_all(model, candidates)), items)
+    cand = attach_titles(flatten(recommend_all(model, candidates, num_users)), items)
     prof = user_profiles(train, vectors)
     scored = content_scores(cand, prof, vectors)
     blend = (F.lit(weight) * F.col(SCORE).cast("double")

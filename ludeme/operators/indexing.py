@@ -5,16 +5,17 @@ by count descending, ties by the label *as a string* (so ``'10'`` precedes
 ``'9'``).  Unlike ``StringIndexer`` the labels never travel to the driver:
 
 1. ``groupBy(label).count()`` -- partial aggregation, so a hot label is combined
-   map-side;
+   map-side (users and items are counted in the same scan and shuffle);
 2. a global sort by (count desc, label) -- range-partitioned, no single task;
 3. each row's position inside its sorted partition comes from
    ``monotonically_increasing_id`` (partition index in the upper bits); the
-   sorted table is checkpointed so both passes see the same partitions;
+   sorted table is written once so both passes read the same positions;
 4. per-partition row counts (one small row per partition) give the offsets,
    broadcast back (bounded by the partition count) to form ``offset + pos``.
 
-The dictionary (label, id, n) is checkpointed to the shared checkpoint folder
-and counted once, so joins against it know its exact size.
+The sorted counts are written once to the shared checkpoint folder; the
+dictionary (label, id, n) is a deterministic projection of that copy, and its
+exact size is known from the fit, so joins against it can check it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludeme.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
-from ludeme.plans.session import ensure_checkpoint_dir
+from ludeme.plans.session import ensure_checkpoint_dir, materialize
 from ludeme.sources.schema import ITEM, ITEM_ID, MEMBER, USER_ID
 
 _MID = "_ldm_mid"
@@ -39,7 +40,7 @@ _INT_MAX = 2**31 - 1
 class IndexModel:
     input_col: str
     output_col: str
-    dictionary: DataFrame      # (input_col, output_col int, n long), checkpointed
+    dictionary: DataFrame      # (input_col, output_col int, n long), from a written table
     size: int                  # distinct non-NULL labels
     rows: int                  # non-NULL rows the counts came from
     nulls: int                 # NULL rows seen while fitting
@@ -55,43 +56,67 @@ class IndexModel:
 
 def fit_index(df: DataFrame, input_col: str, output_col: str,
               handle_invalid: str = "error") -> IndexModel:
+    return fit_indexes(df, [(input_col, output_col)], handle_invalid)[0]
+
+
+def fit_indexes(df: DataFrame, specs: list[tuple[str, str]],
+                handle_invalid: str = "error") -> list[IndexModel]:
+    """Fit several dictionaries (e.g. users and items) in ONE scan of ``df``:
+    every row is exploded into one (kind, label-as-text) pair per dictionary,
+    partially aggregated, shuffled once and sorted once by (kind, NULL last,
+    count desc, label)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    c = F.col(input_col)
-    counts = df.groupBy(input_col).agg(F.count(F.lit(1)).alias("n"))
+    types = {c: df.schema[c].dataType for c, _ in specs}
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("_k"), F.col(c).cast("string").alias(_LBL))
+        for k, (c, _) in enumerate(specs)]))
+    counts = (df.select(pairs.alias("_p")).select("_p._k", f"_p.{_LBL}")
+              .groupBy("_k", _LBL).agg(F.count(F.lit(1)).alias("n")))
+    lbl = F.col(_LBL)
     ordered = (counts
-               .withColumn(_LBL, c.cast("string"))
-               # NULL label sorts last, so it never shifts a real label's id
-               .orderBy(c.isNull().asc(), F.desc("n"), F.asc(_LBL))
-               .withColumn(_MID, F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+               .orderBy(F.asc("_k"), lbl.isNull().asc(), F.desc("n"), lbl.asc())
+               .withColumn(_MID, F.monotonically_increasing_id()))
+    # positions must be read from ONE materialisation of the sort
+    ordered = materialize(ordered, "index")
     pid = F.shiftrightunsigned(F.col(_MID), 33)
-    per_part = (ordered.groupBy(pid.alias(_PID))
-                .agg(F.count_if(c.isNotNull()).alias("labels"),
-                     F.sum(F.when(c.isNotNull(), F.col("n"))).alias("rows"),
-                     F.sum(F.when(c.isNull(), F.col("n"))).alias("nulls"))
-                .collect())                       # one row per partition
-    per_part.sort(key=lambda r: r[_PID])
-    offsets, running = [], 0
+    per_part = (ordered.groupBy(pid.alias(_PID), "_k")
+                .agg(F.count_if(lbl.isNotNull()).alias("labels"),
+                     F.min(F.when(lbl.isNotNull(), F.col(_MID))).alias("first"),
+                     F.sum(F.when(lbl.isNotNull(), F.col("n"))).alias("rows"),
+                     F.sum(F.when(lbl.isNull(), F.col("n"))).alias("nulls"))
+                .collect())                 # <= (partitions x kinds) small rows
+    per_part.sort(key=lambda r: (r["_k"], r[_PID]))
+    offsets, stats = [], {}
     for r in per_part:
-        offsets.append((int(r[_PID]), running))
-        running += int(r["labels"])
-    size = running
-    rows = sum(int(r["rows"] or 0) for r in per_part)
-    nulls = sum(int(r["nulls"] or 0) for r in per_part)
-    if nulls and handle_invalid == "error":
-        raise ValueError(f"{input_col} has {nulls} NULL rows; use handle_invalid='skip' or 'keep'")
-    if size > _INT_MAX:
-        raise ValueError(f"{size} distinct {input_col} values do not fit an int id")
+        k = int(r["_k"])
+        size, rows, nulls = stats.get(k, (0, 0, 0))
+        if r["first"] is not None:
+            # id = labels of this kind in earlier partitions + rank inside this one
+            offsets.append((k, int(r[_PID]), size - int(r["first"])))
+        stats[k] = (size + int(r["labels"]), rows + int(r["rows"] or 0),
+                    nulls + int(r["nulls"] or 0))
+    for k, (c, _) in enumerate(specs):
+        size, _rows, nulls = stats.get(k, (0, 0, 0))
+        if nulls and handle_invalid == "error":
+            raise ValueError(f"{c} has {nulls} NULL rows; use handle_invalid='skip' or 'keep'")
+        if size > _INT_MAX:
+            raise ValueError(f"{size} distinct {c} values do not fit an int id")
     off_df = spark.createDataFrame(offsets, T.StructType([
-        T.StructField(_PID, T.LongType(), False), T.StructField("_off", T.LongType(), False)]))
-    pos = F.col(_MID) - F.shiftleft(F.col(_PID), 33)
-    dictionary = (ordered.filter(c.isNotNull())
-                  .withColumn(_PID, pid)
-                  .join(F.broadcast(off_df), _PID)
-                  .select(c, (F.col("_off") + pos).cast("int").alias(output_col), "n")
-                  .checkpoint(eager=True))
-    return IndexModel(input_col, output_col, dictionary, size, rows, nulls)
+        T.StructField("_k", T.IntegerType(), False),
+        T.StructField(_PID, T.LongType(), False),
+        T.StructField("_off", T.LongType(), False)]))
+    ids = (ordered.filter(lbl.isNotNull())
+           .withColumn(_PID, pid)
+           .join(F.broadcast(off_df), ["_k", _PID])     # bounded by partition count
+           .withColumn("_id", (F.col("_off") + F.col(_MID)).cast("int")))
+    models = []
+    for k, (c, out) in enumerate(specs):
+        size, rows, nulls = stats.get(k, (0, 0, 0))
+        dictionary = (ids.filter(F.col("_k") == k)
+                      .select(lbl.cast(types[c]).alias(c), F.col("_id").alias(out), "n"))
+        models.append(IndexModel(c, out, dictionary, size, rows, nulls))
+    return models
 
 
 def apply_index(model: IndexModel, df: DataFrame, handle_invalid: str = "error",
@@ -130,8 +155,8 @@ def index_ratings(ratings: DataFrame, user_col: str = MEMBER, item_col: str = IT
     """Fit user and item dictionaries on ``ratings`` and attach int ``user_id``,
     ``game_id`` (the indexers are returned so titles can be mapped back with the
     very ids the model was trained on)."""
-    users = fit_index(ratings, user_col, USER_ID, handle_invalid)
-    items = fit_index(ratings, item_col, ITEM_ID, handle_invalid)
+    users, items = fit_indexes(ratings, [(user_col, USER_ID), (item_col, ITEM_ID)],
+                               handle_invalid)
     df = items.transform(users.transform(ratings, handle_invalid, broadcast_rows),
                          handle_invalid, broadcast_rows)
     return IndexedRatings(df, users, items)

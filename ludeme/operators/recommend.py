@@ -24,8 +24,19 @@ SCORE = "score"
 RANK = "rank"
 
 
-def recommend_all(model: ALSModel, n: int = 10) -> DataFrame:
-    return model.recommendForAllUsers(n)
+def size_blocks(model: ALSModel, num_users: int | None) -> ALSModel:
+    """Scoring block size so the user side alone yields >= 2 tasks per core
+    (MLlib's default 4096 leaves most cores idle on small catalogues and makes
+    very large blocks on big ones); clamped to [256, 4096]."""
+    if num_users:
+        par = max(1, model.userFactors.sparkSession.sparkContext.defaultParallelism)
+        bs = -(-num_users // (2 * par))
+        model.setBlockSize(int(min(4096, max(256, bs))))
+    return model
+
+
+def recommend_all(model: ALSModel, n: int = 10, num_users: int | None = None) -> DataFrame:
+    return size_blocks(model, num_users).recommendForAllUsers(n)
 
 
 def recommend_for(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
@@ -52,8 +63,9 @@ def attach_titles(flat: DataFrame, items: IndexModel, how: str = "left") -> Data
 
 
 def titled_recs(model: ALSModel, items: IndexModel, n: int = 10,
-                users: DataFrame | None = None) -> DataFrame:
-    recs = recommend_all(model, n) if users is None else recommend_for(model, users, n)
+                users: DataFrame | None = None, num_users: int | None = None) -> DataFrame:
+    recs = (recommend_all(model, n, num_users) if users is None
+            else recommend_for(model, users, n))
     return attach_titles(flatten(recs), items).select(USER_ID, ITEM, SCORE)
 
 

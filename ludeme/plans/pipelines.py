@@ -1,7 +1,7 @@
 """End-to-end plans: log -> ratings -> ids -> split -> ALS -> metrics / lists.
 
 The notebook's three cases are one function with a rating rule.  The indexed,
-split-tagged ratings are checkpointed once to the shared checkpoint folder and
+split-tagged ratings are written once to the shared checkpoint folder and
 both splits read that copy, so every model fit and evaluation after it starts
 from a fixed, lineage-free table (executor loss costs a re-read, not a
 re-derivation from the raw log).
@@ -22,7 +22,7 @@ from ludeme.operators.evaluate import baseline_rmse, rmse_report
 from ludeme.operators.indexing import IndexModel, index_ratings
 from ludeme.operators.ratings import build_ratings
 from ludeme.operators.split import SPLIT, default_key, random_split, with_split
-from ludeme.plans.session import ensure_checkpoint_dir
+from ludeme.plans.session import ensure_checkpoint_dir, materialize
 from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, ROW_KEY, USER_ID
 
 
@@ -31,7 +31,7 @@ class Prepared:
     rule: RatingRule
     users: IndexModel
     items: IndexModel
-    data: DataFrame          # indexed ratings + split tag (checkpointed)
+    data: DataFrame          # indexed ratings + split tag (written table)
     train: DataFrame
     test: DataFrame
     rows: int                # rating rows (for block sizing)
@@ -50,11 +50,11 @@ def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
             if c in ir.df.columns]
     if split == "hash":
         data = with_split(ir.df.select(*keep), weights, ("train", "test"), seed, key)
-        data = data.checkpoint(eager=True)
+        data = materialize(data, "prepared")
         train = data.filter(F.col(SPLIT) == "train").drop(SPLIT)
         test = data.filter(F.col(SPLIT) == "test").drop(SPLIT)
     elif split == "random":
-        data = ir.df.select(*keep).checkpoint(eager=True)
+        data = materialize(ir.df.select(*keep), "prepared")
         train, test = random_split(data, weights, seed)
     else:
         raise ValueError(f"unknown split {split!r}")

@@ -250,7 +250,8 @@ def q_variant_comparison(spark, sf_dir):
 def q_recs_all_users(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     return recommend.order_for_display(
-        recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N))
+        recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N,
+                              num_users=p.users.size))
 
 
 def q_recs_for_users(spark, sf_dir):
@@ -269,7 +270,8 @@ def q_recs_unseen(spark, sf_dir):
 
 def q_ranking_metrics(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
-    ranked = recommend.flatten(recommend.recommend_all(best_model(spark, sf_dir), TOP_N))
+    ranked = recommend.flatten(recommend.recommend_all(best_model(spark, sf_dir), TOP_N,
+                                                        p.users.size))
     return evaluate.ranking_metrics(ranked, evaluate.relevant_pairs(p.test), TOP_N)
 
 
@@ -285,7 +287,8 @@ def q_hybrid_recs(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
     return hybrid.hybrid_recs(best_model(spark, sf_dir), p.items, p.train, vecs,
-                              n=TOP_N, candidates=3 * TOP_N, weight=0.7)
+                              n=TOP_N, candidates=3 * TOP_N, weight=0.7,
+                              num_users=p.users.size)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -85,3 +85,14 @@ def default_parallelism(spark: SparkSession) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
+    and reading it back (ONE job; ``DataFrame.checkpoint`` computes its input
+    twice).  The copy survives executor loss and gives Catalyst exact size
+    statistics for later broadcast decisions."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
