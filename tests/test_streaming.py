@@ -1,0 +1,20 @@
+import os
+import tempfile
+
+from ludeme.streaming.ingest import ratings_to_table, rolling_top_items, stream_interactions
+
+
+def test_stream_ratings_and_running_totals(spark, fixture_csv):
+    folder = os.path.dirname(fixture_csv)
+    s = stream_interactions(spark, folder)
+    out = tempfile.mkdtemp(prefix="ludeme-stream-out-")
+    q = ratings_to_table(s, out)
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == 10 and "rating" in got.columns
+    q2 = (rolling_top_items(s, "play").writeStream.format("memory")
+          .queryName("ludeme_top_play").outputMode("complete").start())
+    q2.processAllAvailable()
+    totals = {r["game"]: r["total"] for r in spark.sql("SELECT * FROM ludeme_top_play").collect()}
+    q2.stop()
+    assert totals == {"Alpha": 3.5, "Gamma": 7.0, "Beta, Deluxe": 2.0}
