@@ -51,8 +51,17 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
         return out
 
-    # JVM / reader warm-up, not timed
-    events_log(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Untimed warm-up: the same pipeline once on the smallest fixture, so the
+    # timings below measure data work rather than one-off JIT / codegen
+    # compilation in a fresh JVM (a fixed cost that vanishes at scale).
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
+        wp = prepare(lineitem_log(spark, warm_dir), "log")
+        wm = fit_als(wp.train, LOG_PARAMS, rows=wp.rows)
+        rmse_report(wm.transform(wp.test)).collect()
+        recommend.titled_recs(wm, wp.items, 10, num_users=wp.users.size) \
+            .write.format("noop").mode("overwrite").save()
+        profile.dataset_profile(events_log(spark, warm_dir)).collect()
 
     ev = events_log(spark, sf_dir)
     run("dataset_profile", lambda: profile.dataset_profile(ev))
@@ -88,7 +97,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir).replace("sf", ""),
-                      "cpus": cpus}))
+                      "cpus": cpus, "warmup": "one untimed pass at sf0.001"}))
     spark.stop()
 
 

@@ -50,7 +50,12 @@ class TuningResult:
 
 
 def tune(train: DataFrame, test: DataFrame, grid: Sequence[ALSParams], variant: str = "log",
-         parallelism: int = 1, rows: int | None = None, label: str = RATING) -> TuningResult:
+         parallelism: int = 1, rows: int | None = None, label: str = RATING,
+         model_dir: str | None = None, runs_table: str | None = None) -> TuningResult:
+    """Fit every grid point on ``train``, score all on ``test`` in one job.
+
+    ``model_dir``: save each trial's model under ``<model_dir>/trial=<t>``;
+    ``runs_table``: append the trial rows to that Parquet table."""
     def fit(p: ALSParams) -> ALSModel:
         return fit_als(train, p, rows=rows)
 
@@ -74,6 +79,11 @@ def tune(train: DataFrame, test: DataFrame, grid: Sequence[ALSParams], variant:
         rows_out.append((variant, t, p.rank, float(p.reg_param), p.max_iter, int(p.seed),
                          None if r is None else float(r), int(n)))
     trials = train.sparkSession.createDataFrame(rows_out, TUNING_RUNS_SCHEMA)
+    if model_dir:
+        for t, m in enumerate(models):
+            m.write().overwrite().save(f"{model_dir.rstrip('/')}/trial={t}")
+    if runs_table:
+        append_trials(trials, runs_table)
     return TuningResult(trials, models, list(grid))
 
 

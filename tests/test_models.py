@@ -129,6 +129,11 @@ def test_rmse_formula_matches_evaluator(planted):
     assert n == pred.count()
 
 
+def test_iterations_axis_in_grid():
+    grid = param_grid(PARAMS, ranks=(5,), regs=(0.1,), iters=(5, 10))
+    assert [g.max_iter for g in grid] == [5, 10]
+
+
 def test_rmse_on_empty_is_null(planted):
     _, prep, model = planted
     r, n = evaluate.evaluate_rmse(model.transform(prep.test.limit(0)))
@@ -173,10 +178,14 @@ def test_factor_tables(planted):
     assert all(len(r["features"]) == PARAMS.rank for r in f.collect())
 
 
-def test_tuning_grid_and_best(planted):
+def test_tuning_grid_and_best(spark, planted, tmp_path):
+    from pyspark.ml.recommendation import ALSModel
     _, prep, _ = planted
     grid = param_grid(PARAMS, ranks=(2, 4), regs=(0.01, 0.1))
-    res = tune(prep.train, prep.test, grid, parallelism=2, rows=prep.rows)
+    res = tune(prep.train, prep.test, grid, parallelism=2, rows=prep.rows,
+               model_dir=str(tmp_path / "models"), runs_table=str(tmp_path / "runs"))
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 4
+    assert ALSModel.load(str(tmp_path / "models" / "trial=3")).rank == 4
     trials = res.trials.orderBy("trial").collect()
     assert [(r["rank"], r["reg_param"]) for r in trials] == [(2, 0.01), (2, 0.1), (4, 0.01),
                                                               (4, 0.1)]
