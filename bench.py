@@ -90,7 +90,7 @@ def main() -> None:
 
     def do_tune():
         pe = prepare(ev, "log")
-        tune(pe.train, pe.test, param_grid(LOG_PARAMS), parallelism=3, rows=pe.rows)
+        tune(pe.train, pe.test, param_grid(LOG_PARAMS), rows=pe.rows)
         return None
     run("tuning_grid", do_tune)
 

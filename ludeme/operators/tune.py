@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludeme.functions.metrics import rmse
-from ludeme.operators.als import ALSParams, fit_als
+from ludeme.operators.als import ALSParams, block_count, fit_als
+from ludeme.plans.session import default_parallelism
 from ludeme.sources.schema import PREDICTION, RATING, TUNING_RUNS_SCHEMA
 
 # The notebook's grid.
@@ -50,12 +51,20 @@ class TuningResult:
 
 
 def tune(train: DataFrame, test: DataFrame, grid: Sequence[ALSParams], variant: str = "log",
-         parallelism: int = 1, rows: int | None = None, label: str = RATING,
+         parallelism: int | None = None, rows: int | None = None, label: str = RATING,
          model_dir: str | None = None, runs_table: str | None = None) -> TuningResult:
     """Fit every grid point on ``train``, score all on ``test`` in one job.
 
     ``model_dir``: save each trial's model under ``<model_dir>/trial=<t>``;
-    ``runs_table``: append the trial rows to that Parquet table."""
+    ``runs_table``: append the trial rows to that Parquet table.
+    ``parallelism`` None: as many concurrent fits as the cores hold fits of
+    ``block_count`` blocks each (1 on a cluster where one fit fills every core).
+    """
+    if parallelism is None:
+        spark = train.sparkSession
+        per_fit = max(p.num_blocks or block_count(spark, rows) for p in grid) if grid else 1
+        parallelism = max(1, min(len(grid), default_parallelism(spark) // per_fit))
+
     def fit(p: ALSParams) -> ALSModel:
         return fit_als(train, p, rows=rows)
 

@@ -64,7 +64,7 @@ def tuned(spark: SparkSession, sf_dir: str):
     def make():
         p = prepared(spark, sf_dir, "log")
         return tune(p.train, p.test, param_grid(LOG_PARAMS), variant="log",
-                    parallelism=3, rows=p.rows)
+                    rows=p.rows)
     return _cached(spark, sf_dir, ("tune", "log"), make)
 
 
