@@ -35,11 +35,17 @@ class Prepared:
     train: DataFrame
     test: DataFrame
     rows: int                # rating rows (for block sizing)
+    validation: DataFrame | None = None   # set by a three-way split
 
 
 def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
             weights: Sequence[float] = (0.8, 0.2), seed: int = 42, by: str = "row",
             pair_agg: str | None = None, handle_invalid: str = "error") -> Prepared:
+    """Ratings under ``rule`` -> dense ids -> split, written once.
+
+    Three weights give train / validation / test: tune on validation, then
+    score the chosen model on test once (the notebook picks its trial on the
+    test split itself)."""
     rule = RULES[rule] if isinstance(rule, str) else rule
     ensure_checkpoint_dir(log.sparkSession)
     ratings = build_ratings(log, rule, pair_agg)
@@ -48,17 +54,21 @@ def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
     keep = [c for c in dict.fromkeys([*key, USER_ID, ITEM_ID, RATING,
                                       ir.users.input_col, ir.items.input_col])
             if c in ir.df.columns]
+    names = ("train", "test") if len(weights) == 2 else ("train", "validation", "test")
+    if len(weights) not in (2, 3):
+        raise ValueError("weights: (train, test) or (train, validation, test)")
     if split == "hash":
-        data = with_split(ir.df.select(*keep), weights, ("train", "test"), seed, key)
+        data = with_split(ir.df.select(*keep), weights, names, seed, key)
         data = materialize(data, "prepared")
-        train = data.filter(F.col(SPLIT) == "train").drop(SPLIT)
-        test = data.filter(F.col(SPLIT) == "test").drop(SPLIT)
+        parts = [data.filter(F.col(SPLIT) == n).drop(SPLIT) for n in names]
     elif split == "random":
         data = materialize(ir.df.select(*keep), "prepared")
-        train, test = random_split(data, weights, seed)
+        parts = random_split(data, weights, seed)
     else:
         raise ValueError(f"unknown split {split!r}")
-    return Prepared(rule, ir.users, ir.items, data, train, test, ir.users.rows)
+    validation = parts[1] if len(parts) == 3 else None
+    return Prepared(rule, ir.users, ir.items, data, parts[0], parts[-1], ir.users.rows,
+                    validation)
 
 
 @dataclass

@@ -119,6 +119,34 @@ def test_unseen_excludes_training_items(planted):
     assert all(r["count"] <= 3 for r in per_user)
 
 
+def test_unseen_matches_brute_force(planted):
+    _, prep, model = planted
+    n = 4
+    got = {}
+    for r in recommend.recommend_unseen(model, prep.train, n).collect():
+        got.setdefault(r["user_id"], []).append((r["rank"], r["game_id"]))
+    uf = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    itf = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    seen = {}
+    for r in prep.train.select("user_id", "game_id").collect():
+        seen.setdefault(r["user_id"], set()).add(r["game_id"])
+    for u, vec in uf.items():
+        cand = sorted(((-float(vec @ f), i) for i, f in itf.items() if i not in seen.get(u, ())))
+        want = [i for _, i in cand[:n]]
+        mine = [i for _, i in sorted(got.get(u, []))]
+        scores = {i: float(vec @ itf[i]) for i in set(want) | set(mine)}
+        # same scores (ties may order differently)
+        assert np.allclose(sorted(scores[i] for i in mine), sorted(scores[i] for i in want),
+                           atol=1e-4)
+
+
+def test_three_way_split(planted):
+    log, _, _ = planted
+    p3 = prepare(log, "log", weights=(0.6, 0.2, 0.2), by="pair")
+    n = p3.train.count() + p3.validation.count() + p3.test.count()
+    assert n == log.count() and p3.validation.count() > 0
+
+
 def test_rmse_formula_matches_evaluator(planted):
     from pyspark.ml.evaluation import RegressionEvaluator
     _, prep, model = planted
