@@ -17,7 +17,6 @@ dimension table (id dictionaries, titles) to a fact table.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +62,3 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, dim_rows: int,
                       F.lit(0), F.coalesce(F.col(_NSALT), F.lit(1)) - 1)))
                   .drop(_NSALT, weight_col))
     return salted_facts.join(salted_dim, [key, _SALT], how).drop(_SALT)
-
-
-def hot_keys(df: DataFrame, key: str, share: int) -> DataFrame:
-    """Keys with more than ``share`` rows (at most rows/share of them)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share)
-
-
-def select_existing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[c for c in cols if c in df.columns])

@@ -145,3 +145,21 @@ def test_index_null_handling(spark):
     with pytest.raises(Exception):
         m.transform(df, "error").collect()
     _ = F  # keep import used
+
+
+def test_empty_input_every_operator(spark, log10):
+    from ludeme.operators import split
+    from ludeme.operators.indexing import fit_indexes
+    empty = log10.limit(0)
+    r = profile.dataset_profile(empty).first()
+    assert (r["rows"], r["users"], r["items"]) == (0, 0, 0)
+    assert profile.behaviour_counts(empty).count() == 0
+    assert profile.playtime_stats(empty).first()["count"] == 0
+    view = toplists.register_view(empty, "empty_log")
+    assert toplists.sql_top_played(spark, view).count() == 0
+    for rule in ("play", "combined", "log"):
+        assert ratings.build_ratings(empty, rule).count() == 0
+    users, items = fit_indexes(empty, [("member_id", "user_id"), ("game", "game_id")])
+    assert users.size == 0 and items.size == 0
+    assert items.transform(users.transform(empty)).count() == 0
+    assert sum(d.count() for d in split.hash_split(empty)) == 0
