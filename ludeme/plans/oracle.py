@@ -130,4 +130,27 @@ SELECT event_id, user_id, game,
                        / (sqrt(list_dot_product(profile, profile))
                           * sqrt(list_dot_product(vector, vector))) END, 6) AS content_score
 FROM t""",
+    "cold_start_report": f"""WITH {LOG},
+p AS (SELECT event_id, member_id, game,
+             CASE WHEN (('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8))::BIGINT
+                        % 100) < 80 THEN 'train' ELSE 'test' END AS split
+      FROM log WHERE behaviour = 'play'),
+tu AS (SELECT DISTINCT member_id FROM p WHERE split = 'train'),
+ti AS (SELECT DISTINCT game FROM p WHERE split = 'train'),
+t AS (SELECT tu.member_id IS NULL AS u_cold, ti.game IS NULL AS i_cold
+      FROM p LEFT JOIN tu ON p.member_id = tu.member_id LEFT JOIN ti ON p.game = ti.game
+      WHERE p.split = 'test')
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE NOT u_cold AND NOT i_cold) AS scored,
+       count(*) FILTER (WHERE u_cold OR i_cold) AS dropped,
+       count(*) FILTER (WHERE u_cold) AS unseen_user,
+       count(*) FILTER (WHERE i_cold) AS unseen_item
+FROM t""",
+    "schema_report": f"""WITH {LOG}
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
+                        WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int'
+                        ELSE lower(column_type) END AS type,
+       "null" = 'YES' AS nullable
+FROM (DESCRIBE SELECT * FROM log)""",
 }
