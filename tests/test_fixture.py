@@ -163,3 +163,30 @@ def test_empty_input_every_operator(spark, log10):
     assert users.size == 0 and items.size == 0
     assert items.transform(users.transform(empty)).count() == 0
     assert sum(d.count() for d in split.hash_split(empty)) == 0
+
+
+def test_index_offsets_across_many_partitions(spark):
+    """Many labels with heavy ties, sorted output spread over many partitions
+    (AQE off, so nothing is coalesced): ids must equal StringIndexer's."""
+    import random as _r
+    from pyspark.ml.feature import StringIndexer
+    from ludeme.operators.indexing import fit_indexes
+    rnd = _r.Random(11)
+    rows = [(rnd.randint(0, 700), f"t{rnd.randint(0, 400)}") for _ in range(6000)]
+    df = spark.createDataFrame(rows, "member_id long, game string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        users, items = fit_indexes(df, [("member_id", "user_id"), ("game", "game_id")])
+        mine_u = {r["member_id"]: r["user_id"] for r in users.dictionary.collect()}
+        mine_g = {r["game"]: r["game_id"] for r in items.dictionary.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    su = StringIndexer(inputCol="member_id", outputCol="u").fit(df)
+    sg = StringIndexer(inputCol="game", outputCol="g").fit(df)
+    assert mine_u == {int(lbl): i for i, lbl in enumerate(su.labels)}
+    assert mine_g == {lbl: i for i, lbl in enumerate(sg.labels)}
+    assert sorted(mine_u.values()) == list(range(users.size))
