@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ludeme.functions.metrics import cosine
 from ludeme.operators.indexing import IndexModel
+from ludeme.operators.joins import lookup_join
 from ludeme.operators.recommend import RANK, SCORE, attach_titles, flatten, recommend_all
 from ludeme.sources.schema import ITEM, RATING, USER_ID
 
@@ -41,12 +42,29 @@ def item_vectors_from_embeddings(emb: DataFrame, id_col: str = "vec_id",
     return emb.select(F.col(id_col).cast("string").alias(ITEM), F.col(vec_col).alias(VECTOR))
 
 
+def _weighted(dim: DataFrame, key: str, model: IndexModel) -> DataFrame:
+    """Attach the dictionary's row count ``n`` to a one-row-per-key table; the
+    result has at most ``model.size`` rows (an inner join on the key)."""
+    if key not in (model.input_col, model.output_col):
+        raise ValueError(f"{key} is neither the label nor the id of the dictionary")
+    return dim.join(model.dictionary.select(key, "n"), key, "inner")
+
+
+def _attach(facts: DataFrame, dim: DataFrame, key: str, how: str,
+            model: IndexModel | None) -> DataFrame:
+    if model is None:       # no size bound known: Catalyst decides (AQE splits skew)
+        return facts.join(dim, key, how)
+    return lookup_join(facts, _weighted(dim, key, model), key, dim_rows=model.size, how=how,
+                       weight_col="n", total_weight=model.rows)
+
+
 def user_profiles(train: DataFrame, vectors: DataFrame, user_col: str = USER_ID,
-                  rating_col: str = RATING) -> DataFrame:
+                  rating_col: str = RATING, items: IndexModel | None = None) -> DataFrame:
     """(user, profile array<double>): rating-weighted mean item vector over the
-    user's positively rated training rows."""
-    rows = (train.filter(F.col(rating_col) > 0).select(user_col, ITEM, rating_col)
-            .join(vectors, ITEM, "inner"))   # one row per item on the right side
+    user's positively rated training rows.  With ``items`` the vector lookup is
+    size-checked and salted on hot items."""
+    rows = _attach(train.filter(F.col(rating_col) > 0).select(user_col, ITEM, rating_col),
+                   vectors, ITEM, "inner", items)
     agg = rows.groupBy(user_col).agg(
         Summarizer.mean(array_to_vector(F.col(VECTOR)),
                         F.col(rating_col).cast("double")).alias("_m"))
@@ -54,22 +72,26 @@ def user_profiles(train: DataFrame, vectors: DataFrame, user_col: str = USER_ID,
 
 
 def content_scores(pairs: DataFrame, profiles: DataFrame, vectors: DataFrame,
-                   user_col: str = USER_ID) -> DataFrame:
+                   user_col: str = USER_ID, users: IndexModel | None = None,
+                   items: IndexModel | None = None) -> DataFrame:
     """Add ``content_score`` = cosine(user profile, item vector) to (user, game)
-    rows; NULL when the user has no profile or the item no vector."""
-    j = pairs.join(profiles, user_col, "left").join(vectors, ITEM, "left")
+    rows; NULL when the user has no profile or the item no vector.  With the
+    ``users`` / ``items`` dictionaries both lookups are size-checked and salted
+    on hot keys."""
+    j = _attach(pairs, profiles, user_col, "left", users)
+    j = _attach(j, vectors, ITEM, "left", items)
     return (j.withColumn(CONTENT, cosine(F.col(PROFILE), F.col(VECTOR)))
             .drop(PROFILE, VECTOR))
 
 
 def hybrid_recs(model: ALSModel, items: IndexModel, train: DataFrame, vectors: DataFrame,
                 n: int = 10, candidates: int = 30, weight: float = 0.7,
-                num_users: int | None = None) -> DataFrame:
+                num_users: int | None = None, users: IndexModel | None = None) -> DataFrame:
     """Top-n per user by ``weight * ALS score + (1 - weight) * content score``
     among the ALS top-``candidates``; a missing content score counts as 0."""
     cand = attach_titles(flatten(recommend_all(model, candidates, num_users)), items)
-    prof = user_profiles(train, vectors)
-    scored = content_scores(cand, prof, vectors)
+    prof = user_profiles(train, vectors, items=items)
+    scored = content_scores(cand, prof, vectors, users=users, items=items)
     blend = (F.lit(weight) * F.col(SCORE).cast("double")
              + F.lit(1.0 - weight) * F.coalesce(F.col(CONTENT), F.lit(0.0)))
     w = Window.partitionBy(USER_ID).orderBy(F.desc(HYBRID), F.asc(RANK))

@@ -251,7 +251,7 @@ def q_recs_all_users(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     return recommend.order_for_display(
         recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N,
-                              num_users=p.users.size))
+                              num_users=p.users.size, users=p.users))
 
 
 def q_recs_for_users(spark, sf_dir):
@@ -278,8 +278,9 @@ def q_ranking_metrics(spark, sf_dir):
 def q_item_similarity(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
-    prof = hybrid.user_profiles(p.train, vecs)
-    return _r6(hybrid.content_scores(p.test.select(ROW_KEY, USER_ID, ITEM), prof, vecs),
+    prof = hybrid.user_profiles(p.train, vecs, items=p.items)
+    pairs = p.test.select(ROW_KEY, USER_ID, ITEM)
+    return _r6(hybrid.content_scores(pairs, prof, vecs, users=p.users, items=p.items),
                hybrid.CONTENT)
 
 
@@ -288,7 +289,7 @@ def q_hybrid_recs(spark, sf_dir):
     vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
     return hybrid.hybrid_recs(best_model(spark, sf_dir), p.items, p.train, vecs,
                               n=TOP_N, candidates=3 * TOP_N, weight=0.7,
-                              num_users=p.users.size)
+                              num_users=p.users.size, users=p.users)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

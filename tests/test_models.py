@@ -249,3 +249,22 @@ def test_salted_lookup_equals_broadcast(spark):
     assert s.count() == 3000
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan  # only the bounded hot-key list is broadcast
+
+
+def test_content_scores_with_dictionaries(spark, planted):
+    """The size-checked / salted path gives the same scores as plain joins,
+    also when member ids and dense ids do not coincide."""
+    from ludeme.operators import hybrid
+    _, prep, _ = planted
+    items = prep.items.dictionary.select("game").collect()
+    vecs = spark.createDataFrame(
+        [(r["game"], [float(len(r["game"]) % 3), float(int(r["game"][-2:])), 1.0])
+         for r in items], "game string, vector array<double>")
+    pairs = prep.test.select("user_id", "game")
+    plain = hybrid.content_scores(pairs, hybrid.user_profiles(prep.train, vecs), vecs)
+    prof = hybrid.user_profiles(prep.train, vecs, items=prep.items)
+    checked = hybrid.content_scores(pairs, prof, vecs, users=prep.users, items=prep.items)
+    a = {(r["user_id"], r["game"]): r["content_score"] for r in plain.collect()}
+    b = {(r["user_id"], r["game"]): r["content_score"] for r in checked.collect()}
+    assert a.keys() == b.keys() and all(v is not None for v in b.values())
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
