@@ -29,3 +29,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_id", "game", "score"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_rows_only_query_runs(spark, name):
+    df = E.queries()[name](spark, SF)
+    assert df.count() > 0
