@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludeme.llm.text import hex_number, words_of
+from ludeme.plans.session import materialize
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ class Mix:
     weights: tuple[int, ...] = (1, 2, 3)
     cap: int = 3
     seed: int = 42
-    shard_docs: int = 20_000
+    shard_docs: int = 4_000
 
 
 def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -116,18 +117,23 @@ def mix_documents(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id",
                   text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per document: size, source_size, target, taken, and the passes and word
     ranges behind it (``passes``, ``from1``/``to1`` and ``from2``/``to2``)."""
-    return _mix(sized(df, id_col, text_col, source_col), mix)
+    sizes = materialize(sized(df, id_col, text_col, source_col), "sizes")
+    return _place(sizes, *_plan(sizes, mix))
 
 
-def _mix(sizes: DataFrame, mix: Mix) -> DataFrame:
-    per = source_targets(sizes, mix)
+def _sharded(rows: DataFrame, per: DataFrame, mix: Mix) -> DataFrame:
+    """Adds to (doc_id, source, size, ...) what its source has, its digest and shard."""
     digest = F.md5(F.concat(F.lit(f"{mix.seed}:"),
                             F.coalesce(F.col("d.doc_id").cast("string"), F.lit(""))))
-    rest = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
-    d = sizes.alias("d").join(per.alias("p"), _same(F.col("d.source"), F.col("p.source"))).select(
-        "d.doc_id", "d.source", "d.size", *(f"d.{c}" for c in rest), "source_size", "target",
-        "_total", digest.alias("_h"), (hex_number(digest) % F.col("n_shards")).alias("shard"))
-    shards = d.groupBy("source", "shard").agg(
+    return rows.alias("d").join(per.alias("p"), _same(F.col("d.source"), F.col("p.source"))).select(
+        "d.*", "source_size", "target", "_total", digest.alias("_h"),
+        (hex_number(digest) % F.col("n_shards")).alias("shard"))
+
+
+def _plan(sizes: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame, Mix]:
+    """The sources' targets and, per shard, the words it takes and from where."""
+    per = source_targets(sizes, mix)
+    shards = _sharded(sizes, per, mix).groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"),
         F.first("target").alias("target"), F.first("_total").alias("_total"))
     quotas = shard_quotas(shards, mix)
@@ -140,7 +146,13 @@ def _mix(sizes: DataFrame, mix: Mix) -> DataFrame:
         F.least(F.coalesce("quota", F.lit(0)) * b, F.lit(mix.cap) * F.col("shard_size"))
         .alias("_words"),
         (place % F.greatest(F.ceil(F.col("shard_size") / b), F.lit(1)) * b).alias("_from"))
-    # Null sources meet as equals here, so the key is spelled out once.
+    return per, plan, mix
+
+
+def _place(rows: DataFrame, per: DataFrame, plan: DataFrame, mix: Mix) -> DataFrame:
+    """What the plan takes of each row."""
+    rest = [c for c in rows.columns if c not in ("doc_id", "source", "size")]
+    d = _sharded(rows, per, mix)
     line = Window.partitionBy("source", "shard").orderBy("_h", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_end", F.sum("size").over(line))
@@ -172,7 +184,8 @@ def mixed_texts(df: DataFrame, mix: Mix = Mix(), text_col: str = "text",
     s = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                   F.size(words_of(F.col(text_col))).cast("long").alias("size"),
                   F.struct(*df.columns).alias("_row"))
-    x = _mix(s, mix)
+    sizes = materialize(s.select("doc_id", "source", "size"), "sizes")
+    x = _place(s, *_plan(sizes, mix))
 
     def piece(a, z):
         return F.struct(F.lit(True).alias("cut"), F.col(a).alias("a"), F.col(z).alias("z"))
