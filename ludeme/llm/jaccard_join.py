@@ -9,7 +9,7 @@
    Shingles that occur once take places in the prefix but need not be kept.
 3. Documents with equal sets are one class; classes with equal prefix and size
    are one group.  Candidates are pairs of groups that share a prefix shingle
-   and whose sizes allow the threshold; only then are groups expanded, and the
+   and have enough left from there on; only then are groups expanded, and the
    classes' whole sets verified.
 4. Only components are wanted, so no list of a shared shingle is expanded into
    all its pairs: in rounds, each list whose members are not yet one component
@@ -49,7 +49,7 @@ class Join:
     words: int = 5
     percent: int = 75            # 100 * intersection >= percent * union
     slice_bytes: int = 8 << 20   # text that a task holds at once
-    most_rounds: int = 6         # pivot rounds before the exact rest
+    most_rounds: int = 3         # pivot rounds before the exact rest
 
 
 # ------------------------------------------------------------------ shingles
@@ -251,9 +251,18 @@ class _Links:
             F.min("cls").alias("grp"), F.count(F.lit(1)).alias("size"))
         member = classes.join(groups, ["n", "prefix"]).select("cls", "grp", "n")
         self.members = materialize(member, "members")
-        lists = groups.select("grp", "n", F.explode("prefix").alias("token"))
-        several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-        self.lists = materialize(lists.join(several, "token").select("token", "grp", "n"), "lists")
+        # rest: what a class has from this shingle on, itself included.
+        lists = groups.select("grp", "n", F.posexplode("prefix").alias("at", "token"))
+        length = F.col("n") - F.ceil(j.percent * F.col("n") / 100) + 1
+        lists = lists.join(groups.select("grp", F.size("prefix").alias("kept")), "grp").select(
+            "token", "grp", "n", (F.col("n") - (length - F.col("kept")) - F.col("at")).alias("rest"))
+        # A list of one group pairs nothing; of lists with the same groups at the
+        # same places one is enough.
+        h = F.xxhash64("grp", "rest")
+        several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(h).alias("x"),
+                                             F.bit_xor(F.xxhash64(h, F.lit(1))).alias("y"))
+        several = several.filter("k > 1").groupBy("k", "x", "y").agg(F.min("token").alias("token"))
+        self.lists = materialize(lists.join(several.select("token"), "token"), "lists")
         self.edges: list[DataFrame] = []
         self.comp = None
 
@@ -282,18 +291,26 @@ class _Links:
         # The components' stars say the same with fewer rows.
         self.edges = [self.comp.select(F.col("node").alias("u"), F.col("comp").alias("v"))]
 
-    def _sizes_fit(self, a: str, b: str):
-        lo, hi = F.least(a, b), F.greatest(a, b)
-        return 100 * lo >= self.j.percent * hi
+    def _fit(self, n1: str, rest1: str, n2: str, rest2: str):
+        """Whether the overlap can be large enough if this is the first shingle
+        that the two share: it lies within what both have from here on."""
+        t = self.j.percent
+        return (100 + t) * F.least(rest1, rest2) >= t * (F.col(n1) + F.col(n2))
 
     def groups(self) -> DataFrame:
         return self.labelled(self.members).groupBy("grp").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"))
 
     def open_lists(self, turn: int) -> DataFrame:
-        """Lists (with a pivot) that are not yet within one component."""
+        """Lists (with a pivot) that are not yet within one component.
+
+        The pivot is what has the smallest part of its own, as the text has from
+        which copies were made; in later rounds, the one of such in a component
+        drawn by a hash."""
         x = self.lists.join(self.groups(), "grp")
-        pivot = F.min_by(F.struct("grp", "n"), F.xxhash64("grp", F.lit(turn)))
+        drawn = F.xxhash64("lo", F.lit(turn)) if turn else F.lit(0).cast("long")
+        pivot = F.min_by(F.struct("grp", "n", "rest"),
+                         F.struct(drawn, (F.col("n") - F.col("rest")) / F.col("n"), "grp"))
         return x.groupBy("token").agg(
             F.min("lo").alias("lo"), F.max("hi").alias("hi"), pivot.alias("pivot"),
             F.count(F.lit(1)).alias("k")).filter("lo < hi")
@@ -309,7 +326,7 @@ class _Links:
 
     def round(self, turn: int) -> None:
         x = self.lists.join(self.open_lists(turn).select("token", "pivot"), "token")
-        x = x.filter(self._sizes_fit("n", "pivot.n")).filter("grp != pivot.grp") \
+        x = x.filter(self._fit("n", "rest", "pivot.n", "pivot.rest")).filter("grp != pivot.grp") \
             .select("grp", F.col("pivot.grp").alias("b")).distinct()
         if turn == 0:  # members of a group against its first
             x = x.unionByName(self.members.filter("cls != grp").select(
@@ -324,12 +341,12 @@ class _Links:
         """Every pair of the lists and groups that is still in two components."""
         g = self.groups()
         x = self.lists.join(self.open_lists(0).select("token"), "token").join(g, "grp")
-        y = x.select("token", F.col("grp").alias("g2"), F.col("n").alias("n2"),
+        y = x.select("token", F.col("grp").alias("g2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"),
                      F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
         far = (F.col("lo") != F.col("lo2")) | (F.col("lo") != F.col("hi")) \
             | (F.col("lo2") != F.col("hi2"))
         pairs = x.join(y, "token").filter((F.col("grp") < F.col("g2")) & far) \
-            .filter(self._sizes_fit("n", "n2")).select("grp", "g2").distinct()
+            .filter(self._fit("n", "rest", "n2", "rest2")).select("grp", "g2").distinct()
         pairs = pairs.unionByName(g.filter("lo < hi").select("grp", F.col("grp").alias("g2")))
         m = self.labelled(self.members).select("grp", "cls", "comp")
         p = pairs.join(m, "grp").select(F.col("cls").alias("a"), F.col("comp").alias("c1"), "g2")
