@@ -94,7 +94,8 @@ def _shards(df: DataFrame, id_col: str, text_col: str, j: Join, shards: int) ->
                     some = part.slice(lo, 1 << 15)
                     yield _one_slice(some, own, j, shards)
                     own += 1
-    return df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
+    kind = df.schema[id_col].dataType.simpleString()  # fields of a struct become nullable
+    return df.select(F.col(id_col).cast(kind).alias("_id"), F.col(text_col).alias("_text")) \
         .mapInArrow(emit, "key long, slice long, blob binary")
 
 

@@ -47,7 +47,7 @@ END = hash_words(["\n"])[0]  # no word holds a line end
 class Training:
     folds: int = 7
     held_out: int = 2            # texts of this fold are not learned from
-    slice_bytes: int = 16 << 20
+    slice_bytes: int = 8 << 20   # of text, counted at once; scored in halves
 
 
 def held_out(id_col: Column, t: Training = Training()) -> Column:
@@ -352,7 +352,7 @@ def score(df: DataFrame, m: Model, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches):
         for b in batches:
-            for part in text_slices(b, "_text", t.slice_bytes):
+            for part in text_slices(b, "_text", t.slice_bytes // 2):
                 n, known, base, full = _score_slice(part, m)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), part.column("held_out"), pa.array(n, pa.int64()),

@@ -139,5 +139,8 @@ def keep_good(df: DataFrame, policy: Policy = WEB, id_col: str = "doc_id",
     The verdict is attached row by row, not by a join, so repeated and null ids
     keep their own verdicts."""
     packed = df.select(F.struct(*df.columns).alias("_row"), F.col(text_col).alias("_text_"))
-    led = apply_policy(ledger(packed, "_row", "_text_"), policy)
-    return led.filter("kept").select("_row.*")
+    # The row number keeps Spark from moving the filter, with all measurements
+    # spelled out in it, below the steps that compute them once.
+    led = apply_policy(ledger(packed, "_row", "_text_"), policy) \
+        .withColumn("_nr", F.monotonically_increasing_id())
+    return led.filter("kept AND _nr >= 0").select("_row.*")
