@@ -54,6 +54,7 @@ NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor spons
 HEADS = frozenset(("header", "masthead", "banner"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog "
                   "menu menubar form".split())
+BREAK = "|"  # stands for a set-apart element: ends a block, scores nothing
 #: Of what a page has once, the frame is never taken out by its class.
 FRAME = frozenset(("html", "body", "main"))
 
@@ -88,17 +89,18 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
                     break
             was = apart
             apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            if not (apart and was):
+            if not was:
                 out.append((name, "", inside))
             continue
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
             stack.pop()  # these end where the next begins
             apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        own = apart or _set_apart(name, m[4] or m[7] or "", inside)
         if not apart:
-            out.append((name, "", inside))
+            out.append((BREAK if own else name, "", inside))
         if name in VOID:
             continue
-        apart = apart or _set_apart(name, m[4] or m[7] or "", inside)
+        apart = own
         inside = inside or name in ("article", "main")
         stack.append((name, apart, inside))
     if at < len(page) and not apart:
@@ -137,7 +139,7 @@ def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tu
     a = z = start = 0
     for i, (name, text, inside) in enumerate(tokens):
         if name:
-            here += weights.get(name, other)
+            here += 0.0 if name == BREAK else weights.get(name, other)
         elif framed and not inside:
             here -= word * len(text.split())
         else:

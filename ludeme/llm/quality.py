@@ -88,6 +88,10 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         lambda p: p.isNotNull())
     d = d.withColumn("_hits", F.when(F.col("_pairs").isNotNull(), F.sort_array(hit)))
     t = F.col("_t")
+    # A zero that is no constant to Spark: a later filter on the measurements
+    # then stays above this step, where they are computed once, instead of being
+    # moved below it with all steps spelled out for every word.
+    zero = F.shiftright(F.monotonically_increasing_id(), 63)
     return d.select(
         id_col,
         F.size("_w").cast("long").alias("n_words"),
@@ -95,8 +99,8 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         _without(t, SYMBOLS).cast("long").alias("n_symbols"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("_hits").isNull(), F.lit(0)).otherwise(_covered(F.col("_hits")))
-        .cast("long").alias("n_repeat_words"),
+        (F.when(F.col("_hits").isNull(), F.lit(0)).otherwise(_covered(F.col("_hits")))
+         + zero).cast("long").alias("n_repeat_words"),
         _without(t, "!").cast("long").alias("n_shouts"),
         _without(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_upper"),
     )
@@ -139,8 +143,4 @@ def keep_good(df: DataFrame, policy: Policy = WEB, id_col: str = "doc_id",
     The verdict is attached row by row, not by a join, so repeated and null ids
     keep their own verdicts."""
     packed = df.select(F.struct(*df.columns).alias("_row"), F.col(text_col).alias("_text_"))
-    # The row number keeps Spark from moving the filter, with all measurements
-    # spelled out in it, below the steps that compute them once.
-    led = apply_policy(ledger(packed, "_row", "_text_"), policy) \
-        .withColumn("_nr", F.monotonically_increasing_id())
-    return led.filter("kept AND _nr >= 0").select("_row.*")
+    return apply_policy(ledger(packed, "_row", "_text_"), policy).filter("kept").select("_row.*")
