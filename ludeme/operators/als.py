@@ -2,26 +2,24 @@
 
 MLlib's ALS is already a distributed block solver: ratings are partitioned
 into user and item blocks, each half-iteration ships factor blocks to the
-blocks that need them.  What we choose is the block count (from the data size
-and the cluster's parallelism, not the fixed default of 10), the seed (always
+blocks that need them.  What we choose is the block counts (parameters, as MLlib
+draws the first factors per block: the same parameters give the same model on
+any cluster), the seed (always
 set), the checkpoint interval (lineage of long runs is cut into the shared
 checkpoint folder) and storage levels.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludeme.plans.session import default_parallelism, ensure_checkpoint_dir
+from ludeme.plans.session import ensure_checkpoint_dir
 from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, USER_ID
 
-ROWS_PER_BLOCK = 100_000
-
 
 @dataclass(frozen=True)
 class ALSParams:
@@ -33,7 +31,8 @@ class ALSParams:
     nonnegative: bool = True
     seed: int = 42
     cold_start: str = "drop"
-    num_blocks: int | None = None
+    num_blocks: int = 8          # user blocks; raise with the data (rows / 100,000 or so)
+    item_blocks: int | None = None   # as many as user blocks if not given
     checkpoint_interval: int = 10
 
     def with_(self, **kw) -> "ALSParams":
@@ -43,7 +42,7 @@ class ALSParams:
         return asdict(self)
 
 
-# The notebook's three implicit variants and the README's explicit one.
+# The notebook's three implicit variants and the README's explicit one.
 PLAY_PARAMS = ALSParams(rank=10, reg_param=0.01, max_iter=5)
 COMBINED_PARAMS = ALSParams(rank=10, reg_param=0.01, max_iter=5)
 LOG_PARAMS = ALSParams(rank=15, reg_param=0.001, max_iter=5)
@@ -51,19 +50,9 @@ EXPLICIT_PARAMS = ALSParams(rank=10, reg_param=0.1, max_iter=10, implicit=False,
                             nonnegative=False)
 
 
-def block_count(spark, rows: int | None) -> int:
-    """Blocks ~ one per core, but no block smaller than ROWS_PER_BLOCK ratings
-    (tiny blocks make each half-iteration all scheduling overhead)."""
-    par = default_parallelism(spark)
-    if rows is None:
-        return par
-    return int(max(1, min(par, math.ceil(rows / ROWS_PER_BLOCK))))
-
-
 def make_als(params: ALSParams, spark=None, rows: int | None = None,
              user_col: str = USER_ID, item_col: str = ITEM_ID,
              rating_col: str = RATING) -> ALS:
-    blocks = params.num_blocks or (block_count(spark, rows) if spark is not None else 10)
     if spark is not None:
         ensure_checkpoint_dir(spark)
     return ALS(userCol=user_col, itemCol=item_col, ratingCol=rating_col,
@@ -71,7 +60,8 @@ def make_als(params: ALSParams, spark=None, rows: int | None = None,
                implicitPrefs=params.implicit, alpha=params.alpha,
                nonnegative=params.nonnegative, seed=params.seed,
                coldStartStrategy=params.cold_start,
-               numUserBlocks=blocks, numItemBlocks=blocks,
+               numUserBlocks=params.num_blocks,
+               numItemBlocks=params.item_blocks or params.num_blocks,
                checkpointInterval=params.checkpoint_interval,
                intermediateStorageLevel="MEMORY_AND_DISK",
                finalStorageLevel="MEMORY_AND_DISK")
@@ -121,4 +111,4 @@ def load_model(path: str) -> ALSModel:
 
 __all__ = ["ALSParams", "PLAY_PARAMS", "COMBINED_PARAMS", "LOG_PARAMS", "EXPLICIT_PARAMS",
            "make_als", "fit_als", "predict", "factor_tables", "cold_start_report",
-           "save_model", "load_model", "block_count", "PREDICTION"]
+           "save_model", "load_model", "PREDICTION"]

@@ -16,10 +16,10 @@ from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, USER_ID
 def rmse_report(predictions: DataFrame, label: str = RATING,
                 prediction: str = PREDICTION) -> DataFrame:
     """rmse and rows_scored in one pass; rmse is NULL (not an error) on zero rows.
-    NaN predictions (cold rows under strategy 'nan') are excluded."""
+    NaN predictions (cold rows under strategy 'nan') and NULL labels are excluded."""
     scored = predictions.filter(~F.isnan(F.col(prediction)))
     return scored.agg(rmse(label, prediction).alias("rmse"),
-                      F.count(F.lit(1)).alias("rows_scored"))
+                      F.count(F.col(label) - F.col(prediction)).alias("rows_scored"))
 
 
 def evaluate_rmse(predictions: DataFrame, label: str = RATING,

@@ -24,19 +24,13 @@ SCORE = "score"
 RANK = "rank"
 
 
-def size_blocks(model: ALSModel, num_users: int | None) -> ALSModel:
-    """Scoring block size so the user side alone yields >= 2 tasks per core
-    (MLlib's default 4096 leaves most cores idle on small catalogues and makes
-    very large blocks on big ones); clamped to [256, 4096]."""
-    if num_users:
-        par = max(1, model.userFactors.sparkSession.sparkContext.defaultParallelism)
-        bs = -(-num_users // (2 * par))
-        model.setBlockSize(int(min(4096, max(256, bs))))
-    return model
+BLOCK_SIZE = 1024  # factor rows that are scored together, on any cluster
 
 
 def recommend_all(model: ALSModel, n: int = 10, num_users: int | None = None) -> DataFrame:
-    return size_blocks(model, num_users).recommendForAllUsers(n)
+    """Top-N for every user.  The block size is set on a copy: the caller's model
+    (often shared) stays as it is."""
+    return model.copy().setBlockSize(BLOCK_SIZE).recommendForAllUsers(n)
 
 
 def recommend_for(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
@@ -70,8 +64,8 @@ def titled_recs(model: ALSModel, items: IndexModel, n: int = 10,
 
 
 def order_for_display(df: DataFrame) -> DataFrame:
-    """By user, then score, both descending (a range-partitioned sort)."""
-    return df.orderBy(F.desc(USER_ID), F.desc(SCORE))
+    """By user, then score, both descending, ties by item (a range-partitioned sort)."""
+    return df.orderBy(F.desc(USER_ID), F.desc(SCORE), ITEM)
 
 
 def recommend_unseen(model: ALSModel, seen: DataFrame, n: int = 10,

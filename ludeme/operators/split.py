@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludeme.functions.hashing import hash_bucket
+from ludeme.functions.hashing import BUCKETS, hash_bucket
 from ludeme.sources.schema import ITEM, LOG_COLUMNS, MEMBER, ROW_KEY
 
 SPLIT = "split"
@@ -36,8 +36,8 @@ def _bounds(weights: Sequence[float]) -> list[int]:
     acc, out = 0.0, []
     for w in weights:
         acc += w
-        out.append(int(round(100 * acc / total)))
-    out[-1] = 100
+        out.append(int(round(BUCKETS * acc / total)))
+    out[-1] = BUCKETS
     return out
 
 

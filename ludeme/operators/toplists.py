@@ -33,23 +33,22 @@ def register_view(df: DataFrame, name: str) -> str:
 TOP_SQL = """
 SELECT {item}, {total} AS {alias}
 FROM {view}
-WHERE {action_col} = '{action}'
+WHERE {action_col} = :action
 GROUP BY {item}
 ORDER BY {alias} DESC, {item}
 LIMIT {n}
 """
 
 
-def top_sql_text(view: str, action: str, alias: str, n: int = 10,
-                 digits: int | None = None) -> str:
+def top_sql_text(view: str, alias: str, n: int = 10, digits: int | None = None) -> str:
     total = f"SUM({VALUE})" if digits is None else f"ROUND(SUM({VALUE}), {digits})"
     return TOP_SQL.format(item=ITEM, total=total, alias=alias, view=view,
-                          action_col=ACTION, action=action, n=int(n))
+                          action_col=ACTION, n=int(n))
 
 
 def sql_top(spark: SparkSession, view: str, action: str, alias: str, n: int = 10,
             digits: int | None = None) -> DataFrame:
-    return spark.sql(top_sql_text(view, action, alias, n, digits))
+    return spark.sql(top_sql_text(view, alias, n, digits), args={"action": action})
 
 
 def sql_top_played(spark: SparkSession, view: str, n: int = 10,

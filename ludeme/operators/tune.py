@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludeme.functions.metrics import rmse
-from ludeme.operators.als import ALSParams, block_count, fit_als
+from ludeme.operators.als import ALSParams, fit_als
 from ludeme.plans.session import default_parallelism
 from ludeme.sources.schema import PREDICTION, RATING, TUNING_RUNS_SCHEMA
 
@@ -58,11 +58,11 @@ def tune(train: DataFrame, test: DataFrame, grid: Sequence[ALSParams], variant:
     ``model_dir``: save each trial's model under ``<model_dir>/trial=<t>``;
     ``runs_table``: append the trial rows to that Parquet table.
     ``parallelism`` None: as many concurrent fits as the cores hold fits of
-    ``block_count`` blocks each (1 on a cluster where one fit fills every core).
+    ``num_blocks`` blocks each (1 on a cluster where one fit fills every core).
     """
     if parallelism is None:
         spark = train.sparkSession
-        per_fit = max(p.num_blocks or block_count(spark, rows) for p in grid) if grid else 1
+        per_fit = max(p.num_blocks for p in grid) if grid else 1
         parallelism = max(1, min(len(grid), default_parallelism(spark) // per_fit))
 
     def fit(p: ALSParams) -> ALSModel:
@@ -81,7 +81,7 @@ def tune(train: DataFrame, test: DataFrame, grid: Sequence[ALSParams], variant:
         scored = pr if scored is None else scored.unionByName(pr)
     metrics = {r["trial"]: (r["rmse"], r["rows_scored"]) for r in
                scored.groupBy("trial").agg(rmse(label, PREDICTION).alias("rmse"),
-                                           F.count(F.lit(1)).alias("rows_scored")).collect()}
+                                           F.count(F.col(label) - F.col(PREDICTION)).alias("rows_scored")).collect()}
     rows_out = []
     for t, p in enumerate(grid):
         r, n = metrics.get(t, (None, 0))

@@ -29,7 +29,7 @@ r AS (
   SELECT l.event_id, l.member_id, ud.user_id, l.game, gd.game_id, l.behaviour,
          CASE WHEN l.behaviour = 'purchase' THEN 1.0 ELSE ln(1 + l.value) END AS rating,
          CASE WHEN (('0x' || substr(md5('42|' || CAST(l.event_id AS VARCHAR)), 1, 8))::BIGINT
-                    % 100) < 80 THEN 'train' ELSE 'test' END AS split
+                    % 1000000) < 800000 THEN 'train' ELSE 'test' END AS split
   FROM log l JOIN ud USING (member_id) JOIN gd USING (game))"""
 
 
@@ -82,8 +82,19 @@ SELECT event_id, user_id, game, game_id, ROUND(rating, 6) AS rating FROM r""",
     "split_hash": f"""WITH {INDEXED}
 SELECT l.event_id, l.member_id, l.game,
        CASE WHEN (('0x' || substr(md5('42|' || CAST(l.event_id AS VARCHAR)), 1, 8))::BIGINT
-                  % 100) < 80 THEN 'train' ELSE 'test' END AS split
+                  % 1000000) < 800000 THEN 'train' ELSE 'test' END AS split
 FROM log l""",
+    "split_hash_small": f"""WITH {LOG}, s AS (
+SELECT CASE WHEN (('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8))::BIGINT
+                  % 1000000) < 995000 THEN 'train' ELSE 'test' END AS split FROM log)
+SELECT split, count(*) AS rows FROM s GROUP BY split""",
+    "rejected_ratings": f"""WITH {LOG}
+SELECT 'play' AS rule, count(*) AS rows, count(*) FILTER (value IS NULL) AS rejected
+FROM log WHERE behaviour = 'play'
+UNION ALL SELECT 'combined', count(*),
+       count(*) FILTER (behaviour = 'play' AND value IS NULL) FROM log
+UNION ALL SELECT 'log', count(*),
+       count(*) FILTER (behaviour = 'play' AND (value IS NULL OR value <= -1)) FROM log""",
     "ratings_with_titles": f"""WITH {INDEXED},
 tc AS (SELECT game, count(*) AS n FROM r WHERE split = 'train' GROUP BY game),
 td AS (SELECT game, CAST(row_number() OVER (ORDER BY n DESC, game) - 1 AS INTEGER)
@@ -133,7 +144,7 @@ FROM t""",
     "cold_start_report": f"""WITH {LOG},
 p AS (SELECT event_id, member_id, game,
              CASE WHEN (('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8))::BIGINT
-                        % 100) < 80 THEN 'train' ELSE 'test' END AS split
+                        % 1000000) < 800000 THEN 'train' ELSE 'test' END AS split
       FROM log WHERE behaviour = 'play'),
 tu AS (SELECT DISTINCT member_id FROM p WHERE split = 'train'),
 ti AS (SELECT DISTINCT game FROM p WHERE split = 'train'),

@@ -48,7 +48,8 @@ def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
     test split itself)."""
     rule = RULES[rule] if isinstance(rule, str) else rule
     ensure_checkpoint_dir(log.sparkSession)
-    ratings = build_ratings(log, rule, pair_agg)
+    # A NULL rating (no value, or the log of a value of -1 or less) would end every fit.
+    ratings = build_ratings(log, rule, pair_agg).filter(F.col(RATING).isNotNull())
     key = default_key(ratings, by)
     ir = index_ratings(ratings, handle_invalid=handle_invalid)
     keep = [c for c in dict.fromkeys([*key, USER_ID, ITEM_ID, RATING,
@@ -98,7 +99,7 @@ def variant_row(res: VariantResult, prep: Prepared) -> DataFrame:
         F.lit(res.params.rank).alias("rank"),
         F.lit(float(res.params.reg_param)).alias("reg_param"),
         F.sqrt(F.avg(d * d)).alias("rmse"),
-        F.count(F.lit(1)).alias("rows_scored"),
+        F.count(d).alias("rows_scored"),
         F.sqrt(F.avg(y * y)).alias("rmse_zero"),
     ).withColumn("rmse_ratio", F.col("rmse") / F.col("rmse_zero"))
 

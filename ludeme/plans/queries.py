@@ -138,6 +138,24 @@ def q_ratings_log(spark, sf_dir):
                .select(ROW_KEY, MEMBER, ITEM, "behaviour", RATING), RATING)
 
 
+def q_split_hash_small(spark, sf_dir):
+    """A test share of half a percent, as a very long log has."""
+    return split.with_split(log_of(spark, sf_dir), (0.995, 0.005)).groupBy(split.SPLIT).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def q_rejected_ratings(spark, sf_dir):
+    """Per rating rule, its rows and those without a rating, which no fit takes."""
+    log = log_of(spark, sf_dir)
+    out = None
+    for name, build in (("play", ratings.ratings_play), ("combined", ratings.ratings_combined),
+                        ("log", ratings.ratings_log)):
+        one = build(log).agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("rows"),
+                             (F.count(F.lit(1)) - F.count(RATING)).alias("rejected"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_index_users(spark, sf_dir):
     return prepared(spark, sf_dir, "log").users.dictionary.select(MEMBER, USER_ID, "n")
 
@@ -258,7 +276,7 @@ def q_recs_for_users(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     one = spark.createDataFrame([(0,)], f"{USER_ID} int")
     return (recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N, users=one)
-            .orderBy(F.desc(recommend.SCORE)))
+            .orderBy(F.desc(recommend.SCORE), ITEM))
 
 
 def q_recs_unseen(spark, sf_dir):
@@ -306,6 +324,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_play": q_ratings_play,
     "ratings_combined": q_ratings_combined,
     "ratings_log": q_ratings_log,
+    "split_hash_small": q_split_hash_small,
+    "rejected_ratings": q_rejected_ratings,
     "index_users": q_index_users,
     "index_games": q_index_games,
     "game_dictionary": q_game_dictionary,

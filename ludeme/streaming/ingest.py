@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ludeme.functions.rating_rules import RULES
-from ludeme.plans.session import scratch_path
 from ludeme.sources.schema import ACTION, INTERACTION_SCHEMA, ITEM, RATING, VALUE
 
 
@@ -43,12 +42,13 @@ def rolling_top_items(stream: DataFrame, action: str) -> DataFrame:
             .groupBy(ITEM).agg(F.sum(VALUE).alias("total"), F.count(F.lit(1)).alias("rows")))
 
 
-def ratings_to_table(stream: DataFrame, out_path: str, checkpoint: str | None = None,
+def ratings_to_table(stream: DataFrame, out_path: str, checkpoint: str,
                      rule: str = "log", once: bool = True) -> StreamingQuery:
-    spark = stream.sparkSession
+    """Appends rated rows to ``out_path``.  ``checkpoint`` belongs to the table: every
+    call on the same table has to give the same one, or rows are taken twice or lost."""
     w = (rated_stream(stream, rule).writeStream.format("parquet")
          .option("path", out_path)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if once else w
     return w.start()

@@ -8,7 +8,7 @@ def test_stream_ratings_and_running_totals(spark, fixture_csv):
     folder = os.path.dirname(fixture_csv)
     s = stream_interactions(spark, folder)
     out = tempfile.mkdtemp(prefix="ludeme-stream-out-")
-    q = ratings_to_table(s, out)
+    q = ratings_to_table(s, out, tempfile.mkdtemp(prefix="ludeme-stream-ckpt-"))
     q.awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.count() == 10 and "rating" in got.columns
