@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ludeme.llm import (chat_format, html_main, jaccard_join, kn_lm, mixing, packing, quality,
                         secrets, topk, url_lists)
+from ludeme.llm.oracle import ORACLE_SQL  # noqa: F401 (read by __spark_entry__)
 from ludeme.llm.text import table
 
 
@@ -75,4 +76,3 @@ QUERIES = {f.__name__: f for f in (
     op1_url_lists, op2_html_main_text, op3_best_fit_packing, op4_kneser_ney, op5_chat_format,
     op6_exact_top_k, op7_quality_rules, op8_source_mix, op9_ngram_jaccard_join,
     op10_secret_scan)}
-ORACLE_SQL: dict[str, str] = {}
