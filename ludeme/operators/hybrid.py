@@ -9,25 +9,27 @@
   per-element rows.
 * Content score of a (user, item) pair = cosine(profile, item vector),
   computed with JVM higher-order functions.
-* Hybrid: ALS proposes ``candidates`` items per user (blocked top-k, no
-  user x item rows), each candidate gets its content score, and the blend
-  ``weight * als + (1 - weight) * content`` re-ranks them inside each user's
-  (bounded) candidate group.
+* Hybrid: the blend ``weight * als + (1 - weight) * content`` is one dot product
+  of joined vectors, so the blocked top-k scores every item exactly, with no
+  user x item rows and no candidate list.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludeme.functions.metrics import cosine
+from ludeme.functions.metrics import cosine, norm
 from ludeme.operators.indexing import IndexModel
 from ludeme.operators.joins import lookup_join
-from ludeme.operators.recommend import RANK, SCORE, attach_titles, flatten, recommend_all
-from ludeme.sources.schema import ITEM, RATING, USER_ID
+from ludeme.operators.recommend import SCORE, attach_titles, flatten, recommend_all
+from ludeme.plans.session import scratch_path
+from ludeme.sources.schema import ITEM, ITEM_ID, PREDICTION, RATING, USER_ID
 
 VECTOR = "vector"
 PROFILE = "profile"
@@ -54,8 +56,10 @@ def _attach(facts: DataFrame, dim: DataFrame, key: str, how: str,
             model: IndexModel | None) -> DataFrame:
     if model is None:       # no size bound known: Catalyst decides (AQE splits skew)
         return facts.join(dim, key, how)
+    # Vector rows are wide: never broadcast by row count, only where Catalyst's own
+    # estimate in bytes allows it; hot keys are salted.
     return lookup_join(facts, _weighted(dim, key, model), key, dim_rows=model.size, how=how,
-                       weight_col="n", total_weight=model.rows)
+                       broadcast_rows=-1, weight_col="n", total_weight=model.rows)
 
 
 def user_profiles(train: DataFrame, vectors: DataFrame, user_col: str = USER_ID,
@@ -84,18 +88,56 @@ def content_scores(pairs: DataFrame, profiles: DataFrame, vectors: DataFrame,
             .drop(PROFILE, VECTOR))
 
 
+def _unit(table: DataFrame, vector: str, dims: int) -> DataFrame:
+    """``vector`` at length one; zeros where it is missing or has no direction."""
+    t = table.withColumn("_v", F.col(vector).cast("array<double>"))
+    t = t.withColumn("_n", norm(F.col("_v")))
+    good = (F.size("_v") == dims) & (F.col("_n") > 0) & (F.col("_n") < float("inf"))
+    unit = F.when(good, F.transform("_v", lambda x: x / F.col("_n")))
+    return t.withColumn("_unit", F.coalesce(unit, F.array_repeat(F.lit(0.0), dims))) \
+        .drop("_v", "_n")
+
+
+def blended_model(model: ALSModel, items: IndexModel, profiles: DataFrame, vectors: DataFrame,
+                  weight: float) -> ALSModel:
+    """A model whose score is the blend: a user's factors are followed by the unit
+    profile, weighted, an item's by its unit vector, so one dot product gives
+    ``weight * als + (1 - weight) * cosine`` for any pair."""
+    spark = model.userFactors.sparkSession
+    dims = max(vectors.agg(F.max(F.size(VECTOR))).first()[0] or 0, 0)
+    user = model.userFactors.join(profiles.withColumnRenamed(USER_ID, "id"), "id", "left")
+    user = _unit(user, PROFILE, dims).select("id", F.concat(
+        F.transform("features", lambda x: x * F.lit(weight)),
+        F.transform("_unit", lambda x: x * F.lit(1.0 - weight))).cast("array<float>")
+        .alias("features"))
+    by_id = items.dictionary.select(F.col(ITEM_ID).alias("id"), ITEM).join(vectors, ITEM)
+    item = model.itemFactors.join(by_id.select("id", VECTOR), "id", "left")
+    item = _unit(item, VECTOR, dims).select("id", F.concat(
+        F.col("features").cast("array<double>"), "_unit").cast("array<float>").alias("features"))
+    path = scratch_path(spark, "blend")
+    model.write().save(f"{path}/plain")
+    meta = json.loads(spark.read.text(f"{path}/plain/metadata").first()["value"])
+    meta["rank"] = model.rank + dims
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
+        .write.text(f"{path}/blend/metadata")
+    user.write.parquet(f"{path}/blend/userFactors")
+    item.write.parquet(f"{path}/blend/itemFactors")
+    return ALSModel.load(f"{path}/blend")
+
+
 def hybrid_recs(model: ALSModel, items: IndexModel, train: DataFrame, vectors: DataFrame,
-                n: int = 10, candidates: int = 30, weight: float = 0.7,
-                num_users: int | None = None, users: IndexModel | None = None) -> DataFrame:
-    """Top-n per user by ``weight * ALS score + (1 - weight) * content score``
-    among the ALS top-``candidates``; a missing content score counts as 0."""
-    cand = attach_titles(flatten(recommend_all(model, candidates, num_users)), items)
+                n: int = 10, weight: float = 0.7, users: IndexModel | None = None) -> DataFrame:
+    """Top-n per user of all the model's items by ``weight * ALS score + (1 - weight)
+    * content score``; a missing content score counts as 0.  ``vectors``: one row per
+    item.  Items are chosen by single-precision scores (as every ALS list), then
+    ranked by the exact blend, ties by item id."""
     prof = user_profiles(train, vectors, items=items)
-    scored = content_scores(cand, prof, vectors, users=users, items=items)
+    top = flatten(recommend_all(blended_model(model, items, prof, vectors, weight), n))
+    rows = model.transform(top.select(USER_ID, ITEM_ID)).withColumnRenamed(PREDICTION, SCORE)
+    scored = content_scores(attach_titles(rows, items), prof, vectors, users=users, items=items)
     blend = (F.lit(weight) * F.col(SCORE).cast("double")
              + F.lit(1.0 - weight) * F.coalesce(F.col(CONTENT), F.lit(0.0)))
-    w = Window.partitionBy(USER_ID).orderBy(F.desc(HYBRID), F.asc(RANK))
+    w = Window.partitionBy(USER_ID).orderBy(F.desc(HYBRID), F.asc(ITEM_ID))
     return (scored.withColumn(HYBRID, blend)
             .withColumn("hybrid_rank", F.row_number().over(w))
-            .filter(F.col("hybrid_rank") <= n)
             .select(USER_ID, ITEM, SCORE, CONTENT, HYBRID, "hybrid_rank"))

@@ -306,8 +306,7 @@ def q_hybrid_recs(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
     return hybrid.hybrid_recs(best_model(spark, sf_dir), p.items, p.train, vecs,
-                              n=TOP_N, candidates=3 * TOP_N, weight=0.7,
-                              num_users=p.users.size, users=p.users)
+                              n=TOP_N, weight=0.7, users=p.users)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

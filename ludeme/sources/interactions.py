@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,15 +63,20 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bind ``lineitem`` joined to ``orders`` to the log (scale binding):
     customer -> member, ``part-<partkey>`` -> item, every line a play of
-    ``l_quantity``.  The row key packs (orderkey, linenumber <= 7)."""
+    ``l_quantity``.  Order and line number do not identify a line, so the row key
+    is all read columns and a number among equal lines; the numbering is
+    partitioned by the order key too, as the join is."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     # orders is one row per key (no skew on the build side); Catalyst picks the
     # strategy from sizes: sort-merge at scale, broadcast when orders is small.
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    line = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    j = j.withColumn("_n", F.row_number().over(Window.partitionBy(*line).orderBy("o_custkey")))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*line, "_n"]]
     return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ROW_KEY),
+        F.concat_ws("-", *parts).alias(ROW_KEY),
         F.col("o_custkey").alias(MEMBER),
         F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias(ITEM),
         F.lit(PLAY).alias(ACTION),

@@ -268,3 +268,38 @@ def test_content_scores_with_dictionaries(spark, planted):
     b = {(r["user_id"], r["game"]): r["content_score"] for r in checked.collect()}
     assert a.keys() == b.keys() and all(v is not None for v in b.values())
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_hybrid_scores_every_item(spark, planted):
+    """Equal to blending all items, with an item without a vector."""
+    from ludeme.operators import hybrid
+    _, prep, model = planted
+    rnd = np.random.default_rng(5)
+    titles = {r["game_id"]: r["game"] for r in prep.items.dictionary.collect()}
+    vec = {t: rnd.normal(size=3).tolist() for i, t in sorted(titles.items()) if i != 2}
+    vectors = spark.createDataFrame(list(vec.items()), "game string, vector array<double>")
+    prof = {r["user_id"]: np.array(r["profile"])
+            for r in hybrid.user_profiles(prep.train, vectors).collect()}
+    uf = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    itf = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    got = {}
+    for r in hybrid.hybrid_recs(model, prep.items, prep.train, vectors, n=6, weight=0.2,
+                                users=prep.users).orderBy("user_id", "hybrid_rank").collect():
+        got.setdefault(r["user_id"], []).append(r["hybrid_score"])
+
+    def cos(u, i):
+        if u not in prof or titles[i] not in vec:
+            return 0.0
+        a, b = prof[u], np.array(vec[titles[i]])
+        return float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+    assert set(got) == set(uf)
+    for u, scores in got.items():
+        brute = sorted((0.2 * float(uf[u] @ itf[i]) + 0.8 * cos(u, i) for i in itf),
+                       reverse=True)[:6]
+        assert scores == pytest.approx(brute, abs=1e-5)
+
+
+def test_lineitem_row_key_is_unique(spark):
+    from ludeme.sources.interactions import lineitem_log
+    rows = lineitem_log(spark, "/root/testdata/sf0.01")
+    assert rows.count() == rows.select("event_id").distinct().count()
