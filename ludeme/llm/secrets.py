@@ -12,7 +12,9 @@ matches, which moves nothing.
 
 Defined cases: a null text is the empty blob; equal rows share a blob and each
 gets its findings; an empty table gives empty results; columns other than those
-named are ignored; a null id stays null.
+named are ignored; a null id stays null.  Copies of one text are dealt to several
+tasks when findings are joined back, so a text that holds a third of all rows
+does not land in one.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludeme.llm.text import every_salt, row_salt
+
 OPEN, CLOSE, OTHER = "﷐", "﷑", "�"
 
 
@@ -161,10 +165,12 @@ def secrets_of(df: DataFrame, findings: DataFrame, keep: list[str],
                text_col: str = "text") -> DataFrame:
     """Findings joined back to every path: the columns ``keep`` of each row of
     ``df`` and ``found`` (an empty array if none)."""
-    paths = df.select(*keep, blob_of(F.col(text_col)).alias("blob"))
+    paths = df.select(*keep, blob_of(F.col(text_col)).alias("blob"),
+                      row_salt(df.select(*keep)).alias("_salt"))
+    found = per_blob(findings).select("*", every_salt().alias("_salt"))
     none = F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string>>")
-    return paths.join(per_blob(findings), "blob", "left").withColumn(
-        "found", F.coalesce("found", none)).drop("blob")
+    return paths.join(found, ["blob", "_salt"], "left").withColumn(
+        "found", F.coalesce("found", none)).drop("blob", "_salt")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -183,7 +189,8 @@ def redact(df: DataFrame, findings: DataFrame, text_col: str = "text",
     one); a text without findings is left as it is.  Sets ``n_chars`` anew if
     there is such a column."""
     cols = df.columns
-    x = df.withColumn("_blob", blob_of(F.col(text_col)))
+    x = df.select(F.struct(*cols).alias("_row"), blob_of(F.col(text_col)).alias("_blob"),
+                  row_salt(df, (text_col,)).alias("_salt"))
     found = per_blob(findings)
     # Of overlapping spans, one that starts inside an earlier one adds its tail only.
     found = found.select(F.col("blob").alias("_blob"), F.aggregate(
@@ -194,17 +201,18 @@ def redact(df: DataFrame, findings: DataFrame, text_col: str = "text",
                 F.element_at(acc, -1)["start"].alias("start"),
                 F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"))))).otherwise(
             F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
-    ).alias("_cuts"))
-    x = x.join(found, "_blob", "left")
-    t, cuts = F.col(text_col), F.col("_cuts")
+    ).alias("_cuts")).select("*", every_salt().alias("_salt"))
+    x = x.join(found, ["_blob", "_salt"], "left")
+    row, cuts = F.col("_row"), F.col("_cuts")
+    t = row[text_col]
     kept = F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: F.substring(
         t, (F.when(i > 0, F.get(cuts, i - 1)["end"]).otherwise(0) + 1).cast("int"),
         (F.coalesce(F.get(cuts, i)["start"], F.char_length(t).cast("long"))
          - F.when(i > 0, F.get(cuts, i - 1)["end"]).otherwise(0)).cast("int")))
     new = F.when(cuts.isNull(), t).otherwise(F.array_join(kept, mark))
-    out = {c: F.col(c) for c in cols}
+    out = {c: row[c] for c in cols}
     out[text_col] = new
     if "n_chars" in out:
-        out["n_chars"] = F.when(cuts.isNull(), F.col("n_chars")).otherwise(
+        out["n_chars"] = F.when(cuts.isNull(), row["n_chars"]).otherwise(
             F.char_length(new).cast("long"))
     return x.select(*(c.alias(n) for n, c in out.items()))

@@ -37,6 +37,24 @@ def hex_number(digest: Column, digits: int = 8) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
 
+#: Rows of one hot key are dealt to so many parts of a join; what is still large,
+#: Spark's skew join splits, as both sides are then plain shuffles of the join.
+SALTS = 8
+
+
+def row_salt(df: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """A part from 0 by a row's own values (so retries agree), without the columns
+    ``but`` and those that cannot be hashed."""
+    cols = [f.name for f in df.schema.fields
+            if f.name not in but and "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS)) if cols else F.lit(0).cast("long")
+
+
+def every_salt() -> Column:
+    """One copy of a row for each part."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+
+
 # ------------------------------------------------------------------ Arrow side
 
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

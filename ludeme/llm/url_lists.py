@@ -8,7 +8,8 @@ intervals that hold the fetch time.  The most specific active entry decides
 (allow wins a draw); without one the capture is kept.
 
 Captures of the same URL and time are judged once.  The join is an equality on
-the key with a range condition, so Spark splits a hot host's partition.
+the key with a range condition; a hot host's captures are dealt to several parts,
+each with a copy of the intervals, and Spark splits what is still large.
 
 Defined cases: a null or unparsable URL has no keys and is kept with no entry; a
 null fetch time matches nothing; an entry without a time or key never holds; of
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludeme.llm.text import hex_number
+from ludeme.llm.text import every_salt, hex_number, row_salt
 
 NO_END = (1 << 62)
 BLOCK, ALLOW = "block", "allow"
@@ -64,8 +65,10 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url",
     url, at = F.col(url_col), F.col(time_col)
     once = captures.select(url.alias("_u"), at.alias("_at")).distinct()
     k = once.select("_u", "_at", F.explode(keys_of(F.col("_u"))).alias("k")) \
-        .select("_u", "_at", F.col("k.key").alias("key"), F.col("k.depth").alias("depth"))
-    hit = k.join(intervals(entries), "key").filter((F.col("from") <= F.col("_at"))
+        .select("_u", "_at", F.col("k.key").alias("key"), F.col("k.depth").alias("depth"),
+                row_salt(once).alias("_salt"))
+    dealt = intervals(entries).select("*", every_salt().alias("_salt"))
+    hit = k.join(dealt, ["key", "_salt"]).filter((F.col("from") <= F.col("_at"))
                                                    & (F.col("_at") < F.col("to")))
     top = F.max(F.struct("depth", (F.col("list") == ALLOW).alias("allow"), "key")).alias("top")
     verdict = hit.groupBy("_u", "_at").agg(

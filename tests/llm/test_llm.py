@@ -370,3 +370,21 @@ def test_url_lists(spark):
     assert out == Counter((u, t, k) for (u, t), k in zip(rows, keep, strict=True))
     assert url_lists.judge(c, e.filter("at < 0")).filter("kept").count() == len(rows)
     assert url_lists.judge(c.filter("fetched_at < 0"), e).count() == 0
+
+
+def test_redacted_copies_keep_their_own_columns(spark):
+    """Many equal rows, columns named as the operator's own, a map, a null text."""
+    from ludeme.llm import secrets
+    text = "key AKIA" + "A" * 18 + " end"
+    df = spark.sql(f"""
+        SELECT id AS doc_id, IF(id = 0, NULL, '{text}') AS text, CAST(7 AS BIGINT) AS n_chars,
+               'b' AS _blob, 's' AS _salt, 'c' AS _cuts, map('k', id) AS m
+        FROM (SELECT id % 50 AS id FROM range(200))""")
+    out = secrets.redact(df, secrets.scan(secrets.new_blobs(df)))
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert len(rows) == 200
+    for r in rows:
+        assert (r["_blob"], r["_salt"], r["_cuts"], r["m"]) == ("b", "s", "c", {"k": r["doc_id"]})
+        assert r["text"] == (None if r["doc_id"] == 0 else "key [SECRET] end")
+        assert r["n_chars"] == (7 if r["doc_id"] == 0 else 16)
