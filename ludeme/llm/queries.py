@@ -28,7 +28,7 @@ def op3_best_fit_packing(spark, sf_dir):
 
 
 def op4_kneser_ney(spark, sf_dir):
-    return kn_lm.fit_and_score(table(spark, sf_dir, "documents"))
+    return kn_lm.fit_and_score(table(spark, sf_dir, "documents"), t=kn_lm.Training(order=3))
 
 
 #: A conversation whose texts hold the template's own marks.

@@ -274,6 +274,69 @@ def test_kneser_ney(docs, empty, texts):
     assert kn_lm.fit_and_score(empty).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_order(docs, empty, texts, order):
+    """Every level by brute force: a score depends on ``order`` - 1 words before."""
+    tokens = [(i, [*WORD.findall(lower(t)), "\n"]) for i, t, _ in texts]
+    out_of = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in tokens]
+    raw = [Counter() for _ in range(order + 1)]
+    for (_, w), h in zip(tokens, out_of, strict=True):
+        for j in range(0 if h else len(w)):
+            for k in range(1, min(order, j + 2) + 1):
+                raw[k][tuple(["<s>", *w][j + 2 - k:j + 2])] += 1
+    v, n = list(raw), sum(raw[1].values())
+    for k in range(1, order):
+        before = Counter(g[1:] for g in raw[k + 1])
+        v[k] = {g: c if g[0] == "<s>" else before[g] for g, c in raw[k].items()}
+    d, context = {}, defaultdict(lambda: [0, 0, 0, 0])
+    for k in range(1, order + 1):
+        x = Counter(v[k].values())
+        d[k] = kn_lm._discounts([x[1], x[2], x[3], x[4]])
+        for g, c in v[k].items():
+            context[g[:-1]][0] += c
+            context[g[:-1]][min(c, 3)] += 1
+
+    def p(g):
+        if not g:
+            return 1 / (len(v[1]) + 1)
+        x, c, k = context.get(g[:-1]), v[len(g)].get(g, 0), d[len(g)]
+        return p(g[1:]) if x is None else (
+            c - k[min(c, 3)] + (k[1] * x[1] + k[2] * x[2] + k[3] * x[3]) * p(g[1:])) / x[0]
+    want = sorted((str(i), h, n, round(sum(math.log10(p(tuple(["<s>", *w][max(0, j + 2 - order):j + 2])))
+                                           for j in range(len(w))), 6))
+                  for (i, w), h in zip(tokens, out_of, strict=True))
+    t = kn_lm.Training(order=order)
+    got = kn_lm.fit_and_score(docs, t=t).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.train_tokens, round(r.score, 6)) for r in got) == want
+    assert kn_lm.fit_and_score(empty, t=t).count() == 0
+
+
+def test_kneser_ney_packing(tmp_path):
+    rng = np.random.default_rng(0)
+    for half in (1, 7, 20, 32):
+        h = np.unique(rng.integers(0, 1 << 2 * half, 5000, dtype=np.uint64, endpoint=False)
+                      if half < 32 else rng.integers(0, 2 ** 64, 5000, dtype=np.uint64))
+        n = rng.integers(1, 70000, len(h))
+        assert (kn_lm._spread(kn_lm._spread(h, half), half, back=True) == h).all()
+        got = kn_lm._unpack([kn_lm._pack(h, n), kn_lm._pack(h[:1], n[:1])])
+        assert (got[0] == h).all() and got[1][0] == 2 * n[0] and (got[1][1:] == n[1:]).all()
+        kn_lm._write_counts(str(tmp_path), "n", n)
+        at = rng.integers(0, len(n), 99)
+        assert (kn_lm._counts(str(tmp_path), "n", at) == n[at]).all()
+        assert (kn_lm._counts(str(tmp_path), "n", slice(None)) == n).all()
+    for most in (3, 1 << 30):  # rows of at most 64 bits, and of more
+        table = rng.integers(0, most, (5, 400))[:, rng.integers(0, 400, 3000)]
+        rows, code = kn_lm._coded(table)
+        assert (rows[:, code] == table).all() and rows.shape[1] <= 400
+    bound = 1 << 40  # grams in a file: numbers that differ in the high bits, the low ones or both
+    h = np.unique(bound + rng.integers(0, 1 << 36, 5000, dtype=np.uint64))
+    kn_lm._store_grams(str(tmp_path), 2, 0, h, bound)
+    assert (kn_lm._load_grams(str(tmp_path), 2, 0, bound) == h).all()
+    assert (kn_lm._find_grams(str(tmp_path), 2, 0, h, bound) == np.arange(len(h))).all()
+    others = np.setdiff1d(np.concatenate([h + np.uint64(1), h ^ np.uint64(1 << 33), h[-9:] + np.uint64(1 << 40)]), h)
+    assert (kn_lm._find_grams(str(tmp_path), 2, 0, others, bound) == -1).all()
+
+
 CONV = "conv_id long, turn long, role string, text string, block long"
 
 
