@@ -37,6 +37,19 @@ ASSIGN = ("(" + "|".join(_either(w) for w in ("password", "passwd", "secret", "t
           + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
+#: From the BEGIN line to the END line.  Where the next marker is no END of a private key:
+#: to the end of the header and base64 lines that follow, the last of which may be short.
+#: Line ends may be written out (\n), and lines may be indented, quoted or joined.
+_KEY = r"[A-Z0-9\x20]*PRIVATE\x20KEY(?:\x20BLOCK)?-----"
+_GAP = r"""(?:\\[rn]|[\x20\t\r\n"'+,>])"""
+PRIVATE_KEY = (
+    rf"-----BEGIN\x20{_KEY}(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END\x20{_KEY}"
+    rf"|(?:{_GAP}*+(?:(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):[^\r\n\\]*+"
+    r"|[A-Za-z0-9+/]{16,}+={0,2}+|[A-Za-z0-9+/]{1,15}+={1,2}+|=[A-Za-z0-9+/]{4}))*+"
+    r"(?:(?<=[A-Za-z0-9+/]{16})(?:\\[rn]|[\r\n])++[\x20\t]*+[A-Za-z0-9+/]{1,15}+"
+    r"""(?=[\x20\t]*+(?:[\r\n\\"']|$)))?)""")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``hint``: a text without any of these strings has no match.  ``group``
@@ -61,7 +74,7 @@ BASE_RULES = (
     Rule("hex", 1, "[0-9a-f]{16,}", 0, 16),
 )
 EXTRA_RULES = (
-    Rule("private_key", 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, ("PRIVATE KEY-----",)),
+    Rule("private_key", 2, PRIVATE_KEY, 0, 1, ("PRIVATE KEY",)),
     Rule("github", 1, "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1,
          ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", 1, "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1, ("xox",)),
