@@ -32,7 +32,7 @@ from ludeme.llm.text import text_slices
 
 TOKEN = re.compile(
     r"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|template|textarea|title|noscript|iframe|svg|math)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|textarea|title|iframe)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-z][a-z0-9:-]*+)([^<>]*+)>")
 ATTRIBUTE = re.compile(r"(?is)([a-z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(hidden)\b")
@@ -43,7 +43,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are not the article's text.
 APART = frozenset("nav footer aside form head button select option dialog menu object audio video "
-                  "canvas fieldset input datalist".split())
+                  "canvas fieldset input datalist svg noscript annotation annotation-xml".split())
 #: Words of class and id values that name something other than the article.
 NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo "
                   "promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar aside "
@@ -54,6 +54,10 @@ NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor spons
 HEADS = frozenset(("header", "masthead", "banner"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog "
                   "menu menubar form".split())
+#: Formulas: their text counts, their tags do not.
+MATH = frozenset("math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi "
+                 "mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+                 "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
 BREAK = "|"  # stands for a set-apart element: ends a block, scores nothing
 #: Of what a page has once, the frame is never taken out by its class.
 FRAME = frozenset(("html", "body", "main"))
@@ -89,16 +93,16 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
                     break
             was = apart
             apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            if not was:
+            if not was and name not in MATH:
                 out.append((name, "", inside))
             continue
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
             stack.pop()  # these end where the next begins
             apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         own = apart or _set_apart(name, m[4] or m[7] or "", inside)
-        if not apart:
+        if not apart and name not in MATH:
             out.append((BREAK if own else name, "", inside))
-        if name in VOID:
+        if name in VOID or name in ("svg", "math") and (m[4] or m[7] or "").endswith("/"):
             continue
         apart = own
         inside = inside or name in ("article", "main")

@@ -405,6 +405,20 @@ def test_main_text(page, text):
     assert html_main.main_text(page, W) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p>a b</p><svg class="i"/><p>rest of page</p>', "a b\n\nrest of page"),
+    ('<p>a b</p><svg-icon name="x"></svg-icon><p>rest of the page</p>', "a b\n\nrest of the page"),
+    ("<title-bar>bar of words</title-bar><style-x></style-x><p>rest of the page</p>",
+     "bar of words\n\nrest of the page"),
+    ("<p>a b <svg><path d='M0'/><text>no</text></p><p>rest of page</p>", "a b\n\nrest of page"),
+    ("<p>a b</p><div><noscript><img src=x></div><p>rest of page</p>", "a b\n\nrest of page"),
+    ("<article><p>where <math><mi>x</mi><annotation>no</annotation></math> is one</p>"
+     "<p>and <math/> more</p></article>", "where x is one\n\nand more"),
+    ("<title>no</title><style/>p{}</style><p>the text</p>", "the text")])
+def test_main_text_after_icons(page, text):
+    assert html_main.main_text(page, W) == text
+
+
 def test_html_query(spark):
     page = ("<nav><ul><li><a>m</a></li></ul></nav><article><p>some words of text</p></article>"
             "<footer>f</footer>")
