@@ -4,7 +4,7 @@ A page is a sequence of tags and runs of text.  Words score positive, tags
 negative, and the contiguous region with the largest sum, found in one scan, is
 the content.  What markup declares to be something else (menus, footers,
 sidebars, notices, adverts, forms, scripts, comments) is taken out beforehand
-and scores nothing.  The weights are log odds from labelled pages: pages with an
+and scores nothing; an element whose class or id only hints at that costs once.  The weights are log odds from labelled pages: pages with an
 ``article`` or ``main`` element, whose inside is content.  On such a page, words
 outside of it score as strongly against as those inside for.
 
@@ -58,6 +58,16 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MATH = frozenset("math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi "
                  "mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
                  "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split())
+#: Other parts of names that hold one of NAMES and still name such an element; a name
+#: with any further part may be a container's or the text's own ("search-results").
+FORMS = frozenset("area bar block box btn button buttons container form global icons inner item "
+                  "items link links list menu main page panel posts section site slot text top "
+                  "unit wrap wrapper".split())
+#: "no-sidebar" and the like tell what the page has, not what the element is.
+STATES = frozenset("no has with without is hide show not".split())
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd td figcaption".split())
+LOOSE = "~"  # a loosely named element: it costs as much as LOOSE_WORDS words gain
+LOOSE_WORDS = 10
 BREAK = "|"  # stands for a set-apart element: ends a block, scores nothing
 #: Of what a page has once, the frame is never taken out by its class.
 FRAME = frozenset(("html", "body", "main"))
@@ -99,9 +109,12 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
             stack.pop()  # these end where the next begins
             apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        own = apart or _set_apart(name, m[4] or m[7] or "", inside)
+        far = 2 if apart else _set_apart(name, m[4] or m[7] or "", inside)
+        own = far == 2
         if not apart and name not in MATH:
             out.append((BREAK if own else name, "", inside))
+            if far == 1:
+                out.append((LOOSE, "", inside))
         if name in VOID or name in ("svg", "math") and (m[4] or m[7] or "").endswith("/"):
             continue
         apart = own
@@ -112,27 +125,44 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
     return out
 
 
-def _set_apart(name: str, attributes: str, inside: bool) -> bool:
+def _named(value: str, name: str, inside: bool) -> int:
+    """2: a class or id names something other than the article; 1: it may; 0: no."""
+    most = 0
+    for token in value.split():
+        parts = [x for x in re.split("[^a-z0-9]+", token) if x]
+        if not parts or parts[0] in STATES:
+            continue
+        words = NAMES.intersection(parts)
+        if name == "article":
+            words &= {"comment", "comments", "reply", "replies", "ad", "related", "promo"}
+        elif "header" in parts and not inside:
+            words |= {"header"}
+        if words and not (inside and words <= HEADS):
+            whole = all(x in words or x in NAMES or x in FORMS or x.isdigit() for x in parts)
+            most = max(most, 2 if whole and not (inside and name in TEXTS) else 1)
+    return most
+
+
+def _set_apart(name: str, attributes: str, inside: bool) -> int:
+    """2: the element is taken out; 1: it is loosely named, the scan decides; 0: neither."""
     if name in APART or (name == "header" and not inside):
-        return True
+        return 2
     if not attributes or name in FRAME:
-        return False
+        return 0
+    loose = 0
     for key, value, hidden in ATTRIBUTE.findall(attributes):
         if hidden:
-            return True
+            return 2
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            words = set(re.split("[^a-z0-9]+", value))
-            if name == "article":
-                words &= {"comment", "comments", "reply", "replies", "ad", "related", "promo"}
-            if words & NAMES and not (inside and words & NAMES <= HEADS) \
-                    or "header" in words and not inside:
-                return True
+            loose = max(loose, _named(value, name, inside))
+            if loose == 2:
+                return 2
         elif key == "role" and value in ROLES or key == "aria-hidden" and value == "true":
-            return True
+            return 2
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 2
+    return loose
 
 
 def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
@@ -142,7 +172,9 @@ def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tu
     best = here = 0.0
     a = z = start = 0
     for i, (name, text, inside) in enumerate(tokens):
-        if name:
+        if name == LOOSE:
+            here -= LOOSE_WORDS * word
+        elif name:
             here += 0.0 if name == BREAK else weights.get(name, other)
         elif framed and not inside:
             here -= word * len(text.split())

@@ -419,6 +419,20 @@ def test_main_text_after_icons(page, text):
     assert html_main.main_text(page, W) == text
 
 
+def test_main_text_of_loosely_named_elements():
+    text = " ".join(f"w{i}" for i in range(60))
+    for tag in ('div class="content no-sidebar"', "div class='has-sidebar'", "div class=with-comments",
+                "div id=search-results", 'section id="social-policy"', "div class='x has-header'"):
+        page = f"<nav>m</nav><{tag}><p>{text}</p></{tag.split()[0]}><div class='ad'>buy</div>"
+        assert html_main.main_text(page, W) == text, tag
+    for tag in ("p class=notice", "p class='related-work'"):
+        assert html_main.main_text(f"<article><p>{text}</p><{tag}>and {text}</p><p>{text}</p></article>",
+                                   W) == f"{text}\n\nand {text}\n\n{text}", tag
+    for tag in ("class=sidebar", "class='x share-buttons'", "id=site-footer", "class=comment-list",
+                "class=related-work"):
+        assert html_main.main_text(f"<p>{text}</p><div {tag}>few words</div>", W) == text, tag
+
+
 def test_html_query(spark):
     page = ("<nav><ul><li><a>m</a></li></ul></nav><article><p>some words of text</p></article>"
             "<footer>f</footer>")
