@@ -5,8 +5,9 @@ negative, and the contiguous region with the largest sum, found in one scan, is
 the content.  What markup declares to be something else (menus, footers,
 sidebars, notices, adverts, forms, scripts, comments) is taken out beforehand
 and scores nothing; an element whose class or id only hints at that costs once.  The weights are log odds from labelled pages: pages with an
-``article`` or ``main`` element, whose inside is content.  On such a page, words
-outside of it score as strongly against as those inside for.
+``article`` or ``main`` element, whose inside is content.  Where such elements hold
+most of a page's words, words outside score as strongly against as those inside for;
+on other pages the element counts for nothing.
 
 The region's text: character references decoded, white space within a block one
 space, blocks trimmed and joined by an empty line, in page order.
@@ -167,7 +168,9 @@ def _set_apart(name: str, attributes: str, inside: bool) -> int:
 
 def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
     """The token range with the largest sum (the first, then longest, of equals)."""
-    framed = any(t[2] for t in tokens)
+    sizes = [0 if name else len(text.split()) for name, text, _ in tokens]
+    within = sum(n for n, t in zip(sizes, tokens, strict=True) if t[2])
+    framed = 2 * within > sum(sizes)
     word, other = weights["word"], weights["tag"]
     best = here = 0.0
     a = z = start = 0
@@ -177,9 +180,9 @@ def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tu
         elif name:
             here += 0.0 if name == BREAK else weights.get(name, other)
         elif framed and not inside:
-            here -= word * len(text.split())
+            here -= word * sizes[i]
         else:
-            here += word * len(text.split())
+            here += word * sizes[i]
         if here <= 0:
             here, start = 0.0, i + 1
         elif here > best:

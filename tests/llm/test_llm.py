@@ -433,6 +433,14 @@ def test_main_text_of_loosely_named_elements():
         assert html_main.main_text(f"<p>{text}</p><div {tag}>few words</div>", W) == text, tag
 
 
+def test_main_text_outside_of_small_articles():
+    text = " ".join(f"w{i}" for i in range(60))
+    cards = "".join(f"<article class='card'><a href=x>{k} more</a></article>" for k in "abc")
+    for page in (f"<div><p>{text}</p></div>{cards}", f"<main id=app> </main><div><p>{text}</p></div>"):
+        assert html_main.main_text(page, W) == text
+    assert html_main.main_text(f"<div><p>a few words</p></div><main><p>{text}</p></main>", W) == text
+
+
 def test_html_query(spark):
     page = ("<nav><ul><li><a>m</a></li></ul></nav><article><p>some words of text</p></article>"
             "<footer>f</footer>")
