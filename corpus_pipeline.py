@@ -36,8 +36,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    findings = secrets.scan(secrets.new_blobs(docs))
-    return secrets.redact(docs, materialize(findings, "findings"))
+    return secrets.redact(docs, materialize(secrets.find(docs), "findings"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

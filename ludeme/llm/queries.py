@@ -68,8 +68,7 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 
 def op10_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    findings = secrets.scan(secrets.new_blobs(docs))
-    return secrets.digest(secrets.secrets_of(docs, findings, ["doc_id"]))
+    return secrets.digest(secrets.secrets_of(docs, secrets.find(docs), ["doc_id"]))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -21,7 +21,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ludeme.llm.text import every_salt, row_salt
@@ -163,6 +164,43 @@ def scanned(todo: DataFrame) -> DataFrame:
     return todo.select("blob", F.explode("todo").alias("rule"))
 
 
+#: Setting that names the folder of the ledger and the findings; unset: nothing is kept.
+STORE = "spark.ludeme.secrets.store"
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def find(df: DataFrame, text_col: str = "text", rules=RULES, store: str | None = None) -> DataFrame:
+    """Findings of all ``rules`` in the texts of ``df`` (and in others of the store).
+
+    With a ``store`` (or the setting STORE) only the blob and rule version pairs that its
+    ledger does not list are scanned; ledger and findings are appended to, and the findings
+    of earlier runs by the same rule versions are read back.  Findings are written first: a
+    run that ends in between is scanned again, and equal findings count once."""
+    spark = df.sparkSession
+    store = store or spark.conf.get(STORE, None)
+    if store is None:
+        return scan(new_blobs(df, text_col, None, rules), rules)
+    done, found = f"{store}/ledger", f"{store}/findings"
+    todo = new_blobs(df, text_col, _stored(spark, done, "blob string, rule string"), rules)
+    keys, kinds = (F.array(*(F.lit(x) for x in xs))
+                   for xs in ([r.key for r in rules], [r.kind for r in rules]))
+    scan(todo, rules).select("blob", F.get(keys, F.col("ord")).alias("rule"), "start", "end") \
+        .write.mode("append").parquet(found)
+    scanned(todo).write.mode("append").parquet(done)
+    x = _stored(spark, found, "blob string, rule string, start long, end long")
+    place = (F.array_position(keys, F.col("rule")) - 1).cast("int")
+    return x.withColumn("ord", place).filter("ord >= 0").select(
+        "blob", F.get(kinds, F.col("ord")).alias("kind"), "ord", "start", "end")
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -518,3 +518,22 @@ def test_private_keys_are_redacted_whole(spark):
         assert not any(b in got[i] for b in [*body, short])
     assert got[99] == "the line [SECRET] is only named here - no key"
     assert {r.version for r in secrets.RULES if r.kind == "private_key"} == {2}
+
+
+def test_second_scan_joins_earlier_findings_back(spark, tmp_path):
+    """New documents and a new rule version: all findings are there, only unseen pairs are scanned."""
+    store, key = str(tmp_path / "store"), "AKIA" + "A" * 18
+    first = spark.createDataFrame([(0, f"key {key}"), (1, "AIza" + "b" * 35), (2, None)],
+                                  "doc_id long, text string")
+    more = first.union(spark.createDataFrame([(3, f"new {key}"), (4, "AIzabcdef")], first.schema))
+    newer = (*secrets.RULES[:-1], secrets.Rule("google", 2, "AIza[a-z]{4,}", 0, 1, ("AIza",)))
+    for df, rules in ((first, secrets.RULES), (more, newer), (more, newer)):
+        got = secrets.secrets_of(df, secrets.find(df, rules=rules, store=store), ["doc_id"])
+        want = secrets.secrets_of(df, secrets.scan(secrets.new_blobs(df, rules=rules), rules),
+                                  ["doc_id"])
+        assert sorted(got.collect()) == sorted(want.collect())
+    ledger = spark.read.parquet(f"{store}/ledger")
+    assert ledger.count() == ledger.distinct().count() == 3 * len(newer) + 3 + 2 * len(newer)
+    red = secrets.redact(more, secrets.find(more, rules=newer, store=store)).collect()
+    assert {r.doc_id: r.text for r in red} == {0: "key [SECRET]", 1: "[SECRET]", 2: None,
+                                               3: "new [SECRET]", 4: "[SECRET]"}
