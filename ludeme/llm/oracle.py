@@ -20,6 +20,28 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+#: All scores of all anchors; positives first, then negatives within their windows.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+    list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER
+    AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 3
+"""
+
 #: Measurements by regular expressions and positions of repeated windows.
 QUALITY = r"""
 WITH d AS (
@@ -105,8 +127,87 @@ SELECT page_id, c.url, c.fetched_at, coalesce(n_block, 0) AS n_block,
 FROM c LEFT JOIN v ON c.url = v.url AND c.fetched_at = v.fetched_at
 """
 
+#: Bits of a CRC-32, a byte of the text and eight shifts each.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+  range(1, length({0}) + 1), lambda i: [(1000 + ascii({0}[i]))::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, x: CASE WHEN x >= 1000 THEN xor(a, x - 1000)
+                    ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END), 4294967295::BIGINT)"""
+
+
+def _leaf(text: str) -> str:
+    parts = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in parts) + ")"
+
+
+def _merkle(doc_levels: int = 7, source_levels: int = 4) -> str:
+    """Trees level by level and each leaf's run on every level, for up to 16 ** 7
+    documents of a source and 16 ** 4 sources."""
+    lower = f"translate(text, '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
+    out = [f"""d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS s, {_leaf('text')} AS leaf,
+    {_leaf(f"CASE WHEN c % 5 = 0 THEN {lower} ELSE text END")} AS claim
+  FROM (SELECT *, {_CRC.format('(doc_id::VARCHAR)')} AS c FROM documents))""",
+           """t0 AS (
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY s) AS n, leaf AS g FROM d)"""]
+
+    def levels(t, count):
+        for k in range(1, count + 1):
+            out.append(f"""{t}{k} AS (
+  SELECT s, pos // 16 AS pos, (max(n) + 15) // 16 AS n, CASE WHEN max(n) > 1
+    THEN sha256(string_agg(g, '' ORDER BY pos)) ELSE max(g) END AS g
+  FROM {t}{k - 1} GROUP BY s, pos // 16)""")
+            out.append(f"""{t}r{k} AS (SELECT s, pos // 16 AS run, list(g ORDER BY pos) AS kids
+  FROM {t}{k - 1} WHERE n > 1 GROUP BY s, pos // 16)""")
+
+    def climb(f, t, count, own):
+        for k in range(1, count + 1):
+            out.append(f"""{f}{k} AS (
+  SELECT f.* REPLACE (f.pos // 16 AS pos,
+      CASE WHEN kids IS NULL THEN acc ELSE sha256(array_to_string(kids[1:f.pos % 16], '') || acc
+        || array_to_string(kids[f.pos % 16 + 2:], '')) END AS acc,
+      CASE WHEN kids IS NULL THEN proof ELSE proof || array_to_string(kids[1:f.pos % 16], '')
+        || array_to_string(kids[f.pos % 16 + 2:], '') END AS proof)
+  FROM {f}{k - 1} f LEFT JOIN {t}r{k} r ON r.run = f.pos // 16 AND r.s = {own})""")
+    levels("t", doc_levels)
+    out.append(f"""u0 AS (SELECT '' AS s, s AS source, row_number() OVER (ORDER BY s) - 1 AS pos,
+  count(*) OVER () AS n, g FROM t{doc_levels})""")
+    levels("u", source_levels)
+    out.append("f0 AS (SELECT doc_id, s, leaf, pos, claim AS acc, '' AS proof FROM t0)")
+    climb("f", "t", doc_levels, "f.s")
+    out.append(f"""h0 AS (SELECT f.* REPLACE (u.pos AS pos), u.g AS subroot
+  FROM f{doc_levels} f JOIN u0 u ON f.s = u.source)""")
+    climb("h", "u", source_levels, "''")
+    return "WITH " + ",\n".join(out) + f"""
+SELECT doc_id, leaf, subroot, u.g AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+  acc = u.g AS verified FROM h{source_levels} h, u{source_levels} u"""
+
+
+#: Every window with the smallest document that it starts in.
+SUBSTRINGS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+  SELECT rid, doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+g AS (
+  SELECT rid, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM (
+    SELECT *, min(doc_id) OVER (PARTITION BY k) AS least FROM k)
+  WHERE least < doc_id GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce((
+    SELECT string_agg(w[i], ' ' ORDER BY i) FROM (SELECT unnest(range(1, len(w) + 1)) AS i)
+    WHERE NOT list_contains(gone, i)), '') END) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_url_lists": URL_LISTS,
     "op6_exact_top_k": TOP_K,
     "op7_quality_rules": QUALITY,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_merkle_manifest": _merkle(),
+    "op13_substring_dedup": SUBSTRINGS,
 }

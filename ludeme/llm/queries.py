@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ludeme.llm import (chat_format, html_main, jaccard_join, kn_lm, mixing, packing, quality,
-                        secrets, topk, url_lists)
+from ludeme.llm import (chat_format, hard_negatives, html_main, jaccard_join, kn_lm, merkle,
+                        mixing, packing, quality, secrets, substrings, topk, url_lists)
 from ludeme.llm.oracle import ORACLE_SQL  # noqa: F401 (read by __spark_entry__)
 from ludeme.llm.text import table
 
@@ -71,7 +71,29 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.secrets_of(docs, secrets.find(docs), ["doc_id"]))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when(number % 5 == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    claim = merkle.leaf_of([text if c == "text" else F.col(c) for c in merkle.FIELDS])
+    return merkle.audit(merkle.manifest(docs, carry={"claim": claim}), "claim")
+
+
+def op13_substring_dedup(spark, sf_dir):
+    return substrings.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_lists, op2_html_main_text, op3_best_fit_packing, op4_kneser_ney, op5_chat_format,
     op6_exact_top_k, op7_quality_rules, op8_source_mix, op9_ngram_jaccard_join,
-    op10_secret_scan)}
+    op10_secret_scan, op11_hard_negatives, op12_merkle_manifest, op13_substring_dedup)}
