@@ -59,7 +59,7 @@ def main() -> None:
         wp = prepare(lineitem_log(spark, warm_dir), "log")
         wm = fit_als(wp.train, LOG_PARAMS, rows=wp.rows)
         rmse_report(wm.transform(wp.test)).collect()
-        recommend.titled_recs(wm, wp.items, 10, num_users=wp.users.size) \
+        recommend.titled_recs(wm, wp.items, 10) \
             .write.format("noop").mode("overwrite").save()
         profile.dataset_profile(events_log(spark, warm_dir)).collect()
 
@@ -67,10 +67,11 @@ def main() -> None:
     run("dataset_profile", lambda: profile.dataset_profile(ev))
     run("null_audit", lambda: profile.null_audit(ev))
     run("behaviour_counts", lambda: profile.behaviour_counts(ev))
-    view = toplists.register_view(ev, "interactions")
+    by_action = events_log(spark, sf_dir, branches=True)
+    view = toplists.register_view(by_action, "interactions")
     run("sql_top_played", lambda: toplists.sql_top_played(spark, view))
     run("sql_top_purchased", lambda: toplists.sql_top_purchased(spark, view))
-    run("playtime_stats", lambda: profile.playtime_stats(ev))
+    run("playtime_stats", lambda: profile.playtime_stats(by_action))
 
     li = lineitem_log(spark, sf_dir)
     holder = {}
@@ -85,8 +86,7 @@ def main() -> None:
         holder["m"] = fit_als(p.train, LOG_PARAMS, rows=p.rows)
         return rmse_report(holder["m"].transform(p.test))
     run("als_fit_eval", do_fit)
-    run("recs_all_users", lambda: recommend.titled_recs(holder["m"], p.items, 10,
-                                                                num_users=p.users.size))
+    run("recs_all_users", lambda: recommend.titled_recs(holder["m"], p.items, 10))
 
     def do_tune():
         pe = prepare(ev, "log")

@@ -7,7 +7,6 @@ functions  -- column-expression builders (rating rules, hash buckets, metric for
 operators  -- DataFrame -> DataFrame operators (profile, top lists, ratings, ids, split,
               ALS, recommendations, evaluation, tuning, hybrid scoring)
 plans      -- session settings, end-to-end pipelines and the query registry
-streaming  -- the interaction log as a Structured Streaming source
 """
 
 __version__ = "0.1.0"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1_000_000  # the finest share of a split
 
 
-def hash_bucket(key_cols: Sequence[str], seed: int = 42, buckets: int = BUCKETS) -> Column:
+def hash_bucket(key_cols: Sequence[str], seed: int | str = 42, buckets: int = BUCKETS) -> Column:
     parts = [F.lit(str(seed))] + [F.col(c).cast("string") for c in key_cols]
     hex8 = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
     return F.pmod(F.conv(hex8, 16, 10).cast("long"), F.lit(buckets))

@@ -12,11 +12,6 @@ def rmse(label: str = "rating", prediction: str = "prediction") -> Column:
     return F.sqrt(F.avg(d * d))
 
 
-def mse(label: str = "rating", prediction: str = "prediction") -> Column:
-    d = F.col(label).cast("double") - F.col(prediction).cast("double")
-    return F.avg(d * d)
-
-
 def dot(a: Column, b: Column) -> Column:
     """Dot product of two equal-length numeric arrays, JVM-side."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),

@@ -2,11 +2,11 @@
 
 MLlib's ALS is already a distributed block solver: ratings are partitioned
 into user and item blocks, each half-iteration ships factor blocks to the
-blocks that need them.  What we choose is the block counts (parameters, as MLlib
-draws the first factors per block: the same parameters give the same model on
-any cluster), the seed (always
-set), the checkpoint interval (lineage of long runs is cut into the shared
-checkpoint folder) and storage levels.
+blocks that need them.  What we choose is the block counts (from the number of
+ratings alone, as MLlib draws the first factors per block: the same data and
+parameters give the same model on any cluster), the seed (always set), the
+checkpoint interval (lineage of long runs is cut into the shared checkpoint
+folder) and storage levels.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludeme.plans.session import ensure_checkpoint_dir
-from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, USER_ID
+from ludeme.sources.schema import ITEM_ID, RATING, USER_ID
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class ALSParams:
     nonnegative: bool = True
     seed: int = 42
     cold_start: str = "drop"
-    num_blocks: int = 8          # user blocks; raise with the data (rows / 100,000 or so)
+    num_blocks: int | None = None    # user blocks; one per BLOCK_ROWS ratings if not given
     item_blocks: int | None = None   # as many as user blocks if not given
     checkpoint_interval: int = 10
 
@@ -50,11 +50,19 @@ EXPLICIT_PARAMS = ALSParams(rank=10, reg_param=0.1, max_iter=10, implicit=False,
                             nonnegative=False)
 
 
-def make_als(params: ALSParams, spark=None, rows: int | None = None,
-             user_col: str = USER_ID, item_col: str = ITEM_ID,
+BLOCK_ROWS = 100_000    # ratings of a block
+
+
+def sized(params: ALSParams, rows: int) -> ALSParams:
+    """``params`` with block counts: those given, or one per ``BLOCK_ROWS`` ratings."""
+    blocks = params.num_blocks or max(1, -(-rows // BLOCK_ROWS))
+    return params.with_(num_blocks=blocks, item_blocks=params.item_blocks or blocks)
+
+
+def make_als(params: ALSParams, user_col: str = USER_ID, item_col: str = ITEM_ID,
              rating_col: str = RATING) -> ALS:
-    if spark is not None:
-        ensure_checkpoint_dir(spark)
+    if params.num_blocks is None:
+        raise ValueError("block counts are not set: see sized()")
     return ALS(userCol=user_col, itemCol=item_col, ratingCol=rating_col,
                rank=params.rank, regParam=params.reg_param, maxIter=params.max_iter,
                implicitPrefs=params.implicit, alpha=params.alpha,
@@ -68,12 +76,11 @@ def make_als(params: ALSParams, spark=None, rows: int | None = None,
 
 
 def fit_als(train: DataFrame, params: ALSParams, rows: int | None = None, **cols) -> ALSModel:
-    return make_als(params, train.sparkSession, rows, **cols).fit(train)
-
-
-def predict(model: ALSModel, df: DataFrame) -> DataFrame:
-    """Score (user, item) rows; cold rows follow the model's cold-start strategy."""
-    return model.transform(df)
+    """``rows``: the ratings that block counts are set by; counted if not given."""
+    ensure_checkpoint_dir(train.sparkSession)
+    if params.num_blocks is None:
+        params = sized(params, train.count() if rows is None else rows)
+    return make_als(params, **cols).fit(train)
 
 
 def factor_tables(model: ALSModel) -> DataFrame:
@@ -101,14 +108,5 @@ def cold_start_report(model: ALSModel, df: DataFrame, user_col: str = USER_ID,
                  F.count_if(i_cold).alias("unseen_item"))
 
 
-def save_model(model: ALSModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> ALSModel:
-    return ALSModel.load(path)
-
-
 __all__ = ["ALSParams", "PLAY_PARAMS", "COMBINED_PARAMS", "LOG_PARAMS", "EXPLICIT_PARAMS",
-           "make_als", "fit_als", "predict", "factor_tables", "cold_start_report",
-           "save_model", "load_model", "PREDICTION"]
+           "BLOCK_ROWS", "sized", "make_als", "fit_als", "factor_tables", "cold_start_report"]

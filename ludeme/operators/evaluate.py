@@ -1,11 +1,9 @@
-"""Model evaluation: RMSE (one aggregation), constant-predictor baselines,
-variant comparison and ranking metrics (precision@k, MAP) without collecting
+"""Model evaluation: RMSE (one aggregation), constant-predictor baselines
+and ranking metrics (precision@k, MAP) without collecting
 per-user lists to the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,15 +37,6 @@ def baseline_rmse(train: DataFrame, test: DataFrame, label: str = RATING) -> Dat
                     F.count(F.lit(1)).alias("rows"))
 
 
-def variant_comparison(rows: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Stack per-variant one-row metric frames under a ``variant`` column."""
-    out = None
-    for name, df in rows:
-        d = df.select(F.lit(name).alias("variant"), *df.columns)
-        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
-    return out
-
-
 def relevant_pairs(test: DataFrame, threshold: float = 0.0, user_col: str = USER_ID,
                    item_col: str = ITEM_ID, label: str = RATING) -> DataFrame:
     """Distinct (user, item) pairs of the test split with label > threshold."""

@@ -12,12 +12,11 @@
 * Hybrid: the blend ``weight * als + (1 - weight) * content`` is one dot product
   of joined vectors, so the blocked top-k scores every item exactly, with no
   user x item rows and no candidate list.
+* Content lists: the same top-k over unit profiles and unit vectors.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.stat import Summarizer
@@ -25,16 +24,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludeme.functions.metrics import cosine, norm
+from ludeme.operators import topn
 from ludeme.operators.indexing import IndexModel
-from ludeme.operators.joins import lookup_join
-from ludeme.operators.recommend import SCORE, attach_titles, flatten, recommend_all
-from ludeme.plans.session import scratch_path
+from ludeme.operators.joins import DEFAULT_BROADCAST_BYTES, lookup_join
+from ludeme.operators.recommend import SCORE, attach_titles, flatten
 from ludeme.sources.schema import ITEM, ITEM_ID, PREDICTION, RATING, USER_ID
 
 VECTOR = "vector"
 PROFILE = "profile"
 CONTENT = "content_score"
 HYBRID = "hybrid_score"
+#: What a joined vector may take: a thousand doubles.
+VECTOR_BYTES = 8 << 10
 
 
 def item_vectors_from_embeddings(emb: DataFrame, id_col: str = "vec_id",
@@ -44,22 +45,19 @@ def item_vectors_from_embeddings(emb: DataFrame, id_col: str = "vec_id",
     return emb.select(F.col(id_col).cast("string").alias(ITEM), F.col(vec_col).alias(VECTOR))
 
 
-def _weighted(dim: DataFrame, key: str, model: IndexModel) -> DataFrame:
-    """Attach the dictionary's row count ``n`` to a one-row-per-key table; the
-    result has at most ``model.size`` rows (an inner join on the key)."""
-    if key not in (model.input_col, model.output_col):
-        raise ValueError(f"{key} is neither the label nor the id of the dictionary")
-    return dim.join(model.dictionary.select(key, "n"), key, "inner")
-
-
 def _attach(facts: DataFrame, dim: DataFrame, key: str, how: str,
             model: IndexModel | None) -> DataFrame:
+    """``dim``: one row of a vector per key of the dictionary ``model``."""
     if model is None:       # no size bound known: Catalyst decides (AQE splits skew)
         return facts.join(dim, key, how)
-    # Vector rows are wide: never broadcast by row count, only where Catalyst's own
-    # estimate in bytes allows it; hot keys are salted.
-    return lookup_join(facts, _weighted(dim, key, model), key, dim_rows=model.size, how=how,
-                       broadcast_rows=-1, weight_col="n", total_weight=model.rows)
+    if key not in (model.input_col, model.output_col):
+        raise ValueError(f"{key} is neither the label nor the id of the dictionary")
+    # Vectors are wide: the dictionary's bytes say nothing of theirs, so they are counted as
+    # a shuffle would see them, beyond any small dictionary.
+    known = dim.join(model.dictionary.select(key), key, "left_semi")
+    wide = model.size * VECTOR_BYTES
+    return lookup_join(facts, known, key, dim_bytes=wide, how=how,
+                       broadcast_bytes=DEFAULT_BROADCAST_BYTES)
 
 
 def user_profiles(train: DataFrame, vectors: DataFrame, user_col: str = USER_ID,
@@ -98,12 +96,11 @@ def _unit(table: DataFrame, vector: str, dims: int) -> DataFrame:
         .drop("_v", "_n")
 
 
-def blended_model(model: ALSModel, items: IndexModel, profiles: DataFrame, vectors: DataFrame,
-                  weight: float) -> ALSModel:
-    """A model whose score is the blend: a user's factors are followed by the unit
-    profile, weighted, an item's by its unit vector, so one dot product gives
+def blended_factors(model: ALSModel, items: IndexModel, profiles: DataFrame, vectors: DataFrame,
+                    weight: float) -> tuple[DataFrame, DataFrame]:
+    """Factors (id, features) of users and items whose dot product is the blend: a user's factors
+    are followed by the unit profile, weighted, an item's by its unit vector, so it is
     ``weight * als + (1 - weight) * cosine`` for any pair."""
-    spark = model.userFactors.sparkSession
     dims = max(vectors.agg(F.max(F.size(VECTOR))).first()[0] or 0, 0)
     user = model.userFactors.join(profiles.withColumnRenamed(USER_ID, "id"), "id", "left")
     user = _unit(user, PROFILE, dims).select("id", F.concat(
@@ -114,15 +111,22 @@ def blended_model(model: ALSModel, items: IndexModel, profiles: DataFrame, vecto
     item = model.itemFactors.join(by_id.select("id", VECTOR), "id", "left")
     item = _unit(item, VECTOR, dims).select("id", F.concat(
         F.col("features").cast("array<double>"), "_unit").cast("array<float>").alias("features"))
-    path = scratch_path(spark, "blend")
-    model.write().save(f"{path}/plain")
-    meta = json.loads(spark.read.text(f"{path}/plain/metadata").first()["value"])
-    meta["rank"] = model.rank + dims
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
-        .write.text(f"{path}/blend/metadata")
-    user.write.parquet(f"{path}/blend/userFactors")
-    item.write.parquet(f"{path}/blend/itemFactors")
-    return ALSModel.load(f"{path}/blend")
+    return user, item
+
+
+def content_lists(profiles: DataFrame, items: IndexModel, vectors: DataFrame,
+                  n: int = 10) -> DataFrame:
+    """(user_id, game_id, score, rank): per user with a profile the n items of the dictionary
+    whose vectors are nearest to it by cosine."""
+    dims = max(vectors.agg(F.max(F.size(VECTOR))).first()[0] or 0, 0)
+
+    def factors(table, vector):
+        some = _unit(table, vector, dims).filter(F.exists("_unit", lambda x: x != 0))
+        return some.select("id", F.col("_unit").cast("array<float>").alias("features"))
+    by_id = items.dictionary.select(F.col(ITEM_ID).alias("id"), ITEM).join(vectors, ITEM)
+    lists = topn.top_n(factors(profiles.withColumnRenamed(USER_ID, "id"), PROFILE),
+                       factors(by_id, VECTOR), n)
+    return flatten(topn.as_recommendations(lists))
 
 
 def hybrid_recs(model: ALSModel, items: IndexModel, train: DataFrame, vectors: DataFrame,
@@ -132,7 +136,8 @@ def hybrid_recs(model: ALSModel, items: IndexModel, train: DataFrame, vectors: D
     item.  Items are chosen by single-precision scores (as every ALS list), then
     ranked by the exact blend, ties by item id."""
     prof = user_profiles(train, vectors, items=items)
-    top = flatten(recommend_all(blended_model(model, items, prof, vectors, weight), n))
+    user, item = blended_factors(model, items, prof, vectors, weight)
+    top = flatten(topn.as_recommendations(topn.top_n(user, item, n)))
     rows = model.transform(top.select(USER_ID, ITEM_ID)).withColumnRenamed(PREDICTION, SCORE)
     scored = content_scores(attach_titles(rows, items), prof, vectors, users=users, items=items)
     blend = (F.lit(weight) * F.col(SCORE).cast("double")

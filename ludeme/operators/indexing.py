@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ludeme.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from ludeme.operators.joins import DEFAULT_BROADCAST_BYTES, ROW_BYTES, lookup_join
 from ludeme.plans.session import ensure_checkpoint_dir, materialize
 from ludeme.sources.schema import ITEM, ITEM_ID, MEMBER, USER_ID
 
@@ -44,10 +44,11 @@ class IndexModel:
     size: int                  # distinct non-NULL labels
     rows: int                  # non-NULL rows the counts came from
     nulls: int                 # NULL rows seen while fitting
+    bytes: int | None = None   # of the labels and what a row takes beside
 
     def transform(self, df: DataFrame, handle_invalid: str = "error",
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        return apply_index(self, df, handle_invalid, broadcast_rows)
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+        return apply_index(self, df, handle_invalid, broadcast_bytes)
 
     def labels(self) -> DataFrame:
         """id -> label, ordered by id (the dictionary view of the model)."""
@@ -84,20 +85,21 @@ def fit_indexes(df: DataFrame, specs: list[tuple[str, str]],
                 .agg(F.count_if(lbl.isNotNull()).alias("labels"),
                      F.min(F.when(lbl.isNotNull(), F.col(_MID))).alias("first"),
                      F.sum(F.when(lbl.isNotNull(), F.col("n"))).alias("rows"),
-                     F.sum(F.when(lbl.isNull(), F.col("n"))).alias("nulls"))
+                     F.sum(F.when(lbl.isNull(), F.col("n"))).alias("nulls"),
+                     F.sum(F.octet_length(lbl)).alias("text"))
                 .collect())                 # <= (partitions x kinds) small rows
     per_part.sort(key=lambda r: (r["_k"], r[_PID]))
     offsets, stats = [], {}
     for r in per_part:
         k = int(r["_k"])
-        size, rows, nulls = stats.get(k, (0, 0, 0))
+        size, rows, nulls, text = stats.get(k, (0, 0, 0, 0))
         if r["first"] is not None:
             # id = labels of this kind in earlier partitions + rank inside this one
             offsets.append((k, int(r[_PID]), size - int(r["first"])))
         stats[k] = (size + int(r["labels"]), rows + int(r["rows"] or 0),
-                    nulls + int(r["nulls"] or 0))
+                    nulls + int(r["nulls"] or 0), text + int(r["text"] or 0))
     for k, (c, _) in enumerate(specs):
-        size, _rows, nulls = stats.get(k, (0, 0, 0))
+        size, _rows, nulls, _text = stats.get(k, (0, 0, 0, 0))
         if nulls and handle_invalid == "error":
             raise ValueError(f"{c} has {nulls} NULL rows; use handle_invalid='skip' or 'keep'")
         if size > _INT_MAX:
@@ -112,23 +114,23 @@ def fit_indexes(df: DataFrame, specs: list[tuple[str, str]],
            .withColumn("_id", (F.col("_off") + F.col(_MID)).cast("int")))
     models = []
     for k, (c, out) in enumerate(specs):
-        size, rows, nulls = stats.get(k, (0, 0, 0))
+        size, rows, nulls, text = stats.get(k, (0, 0, 0, 0))
         dictionary = (ids.filter(F.col("_k") == k)
                       .select(lbl.cast(types[c]).alias(c), F.col("_id").alias(out), "n"))
-        models.append(IndexModel(c, out, dictionary, size, rows, nulls))
+        models.append(IndexModel(c, out, dictionary, size, rows, nulls,
+                                 text + ROW_BYTES * size))
     return models
 
 
 def apply_index(model: IndexModel, df: DataFrame, handle_invalid: str = "error",
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Attach ``output_col``.  ``handle_invalid``: ``error`` fails the job on a
     NULL or unseen label (as StringIndexer does), ``skip`` drops such rows,
     ``keep`` gives them id = size."""
     how = "inner" if handle_invalid == "skip" else "left"
-    out = lookup_join(df, model.dictionary.select(model.input_col, model.output_col, "n"),
-                      model.input_col, dim_rows=model.size, how=how,
-                      broadcast_rows=broadcast_rows, weight_col="n",
-                      total_weight=model.rows)
+    out = lookup_join(df, model.dictionary.select(model.input_col, model.output_col),
+                      model.input_col, dim_bytes=model.bytes, how=how,
+                      broadcast_bytes=broadcast_bytes)
     idc = F.col(model.output_col)
     if handle_invalid == "keep":
         out = out.withColumn(model.output_col, F.coalesce(idc, F.lit(model.size)))
@@ -151,12 +153,12 @@ class IndexedRatings:
 
 def index_ratings(ratings: DataFrame, user_col: str = MEMBER, item_col: str = ITEM,
                   handle_invalid: str = "error",
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> IndexedRatings:
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> IndexedRatings:
     """Fit user and item dictionaries on ``ratings`` and attach int ``user_id``,
     ``game_id`` (the indexers are returned so titles can be mapped back with the
     very ids the model was trained on)."""
     users, items = fit_indexes(ratings, [(user_col, USER_ID), (item_col, ITEM_ID)],
                                handle_invalid)
-    df = items.transform(users.transform(ratings, handle_invalid, broadcast_rows),
-                         handle_invalid, broadcast_rows)
+    df = items.transform(users.transform(ratings, handle_invalid, broadcast_bytes),
+                         handle_invalid, broadcast_bytes)
     return IndexedRatings(df, users, items)

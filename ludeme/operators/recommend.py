@@ -1,21 +1,16 @@
-"""Top-N recommendation tables.
+"""Top-N recommendation tables over the exact lists of :mod:`ludeme.operators.topn`.
 
-``recommendForAllUsers`` / ``recommendForUserSubset`` are MLlib's blocked
-scorers: factor tables are cut into blocks of ``blockSize`` rows, each block
-pair is scored by one GEMM and a bounded per-user top-k aggregator keeps N
-items -- (user, item) pairs are never materialised as rows.
-
-Seen-item exclusion is exact: each user is asked for N + (items that user has
-seen) candidates.  Users are grouped into tiers by their seen count so a few
-heavy users do not force a huge k on everybody; each tier gets its own k.
+Items are scored in blocks of falling norm until no later block can reach a user's list; items
+the user has seen are masked while a block is scored.  (user, item) pairs are never rows.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludeme.operators import topn
 from ludeme.operators.indexing import IndexModel
 from ludeme.operators.joins import lookup_join
 from ludeme.sources.schema import ITEM, ITEM_ID, RATING, USER_ID
@@ -24,19 +19,15 @@ SCORE = "score"
 RANK = "rank"
 
 
-BLOCK_SIZE = 1024  # factor rows that are scored together, on any cluster
-
-
-def recommend_all(model: ALSModel, n: int = 10, num_users: int | None = None) -> DataFrame:
-    """Top-N for every user.  The block size is set on a copy: the caller's model
-    (often shared) stays as it is."""
-    return model.copy().setBlockSize(BLOCK_SIZE).recommendForAllUsers(n)
+def recommend_all(model: ALSModel, n: int = 10) -> DataFrame:
+    """(user_id, recommendations): the n best (game_id, rating) of every user."""
+    return topn.as_recommendations(topn.recommend(model, n))
 
 
 def recommend_for(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
     """Top-N for the users in ``users`` (column ``user_id``); an unknown user gets
     no row."""
-    return model.recommendForUserSubset(users, n)
+    return topn.as_recommendations(topn.recommend(model, n, users))
 
 
 def flatten(recs: DataFrame, user_col: str = USER_ID) -> DataFrame:
@@ -49,17 +40,15 @@ def flatten(recs: DataFrame, user_col: str = USER_ID) -> DataFrame:
 
 def attach_titles(flat: DataFrame, items: IndexModel, how: str = "left") -> DataFrame:
     """game_id -> title through the dictionary the model was trained with.  The
-    dictionary is broadcast when its (known) size allows; otherwise the join is
-    salted on the popular items, which appear in the most lists."""
-    return lookup_join(flat, items.dictionary.select(ITEM_ID, items.input_col, "n"), ITEM_ID,
-                       dim_rows=items.size, how=how, weight_col="n",
-                       total_weight=items.rows)
+    dictionary is broadcast when its (known) size in bytes allows; otherwise the join is
+    salted on the items that the lists hold most often."""
+    return lookup_join(flat, items.dictionary.select(ITEM_ID, items.input_col), ITEM_ID,
+                       dim_bytes=items.bytes, how=how)
 
 
 def titled_recs(model: ALSModel, items: IndexModel, n: int = 10,
-                users: DataFrame | None = None, num_users: int | None = None) -> DataFrame:
-    recs = (recommend_all(model, n, num_users) if users is None
-            else recommend_for(model, users, n))
+                users: DataFrame | None = None) -> DataFrame:
+    recs = recommend_all(model, n) if users is None else recommend_for(model, users, n)
     return attach_titles(flatten(recs), items).select(USER_ID, ITEM, SCORE)
 
 
@@ -72,31 +61,7 @@ def recommend_unseen(model: ALSModel, seen: DataFrame, n: int = 10,
                      users: DataFrame | None = None) -> DataFrame:
     """Exact top-N per user among items the user has NOT interacted with.
 
-    ``seen``: (user_id, game_id) pairs (duplicates allowed).  Users are grouped
-    by the smallest power of two >= their distinct seen count; tier t is scored
-    with k = N + 2^t, which is always enough to keep N unseen items, and at most
-    ~log2(catalogue) tiers exist.  Seen pairs are removed with an anti-join and
-    the survivors re-ranked within each user (a group of <= k rows).
-    """
-    spark = model.userFactors.sparkSession
-    seen = seen.select(USER_ID, ITEM_ID).distinct()
-    per_user = seen.groupBy(USER_ID).agg(F.count(F.lit(1)).alias("_seen"))
-    base = users if users is not None else model.userFactors.select(F.col("id").alias(USER_ID))
-    tiers = (base.select(USER_ID).join(per_user, USER_ID, "left")
-             .withColumn("_tier", F.when(F.col("_seen").isNull(), F.lit(0)).otherwise(
-                 F.ceil(F.log2(F.col("_seen"))).cast("int"))))
-    tier_ids = [r["_tier"] for r in tiers.select("_tier").distinct().collect()]  # <= ~32
-    parts = []
-    for t in sorted(tier_ids):
-        k = n + (2 ** t if t > 0 else 1)
-        subset = tiers.filter(F.col("_tier") == t).select(USER_ID)
-        parts.append(flatten(model.recommendForUserSubset(subset, k)))
-    if not parts:
-        return spark.createDataFrame([], f"{USER_ID} int, {ITEM_ID} int, {SCORE} float, {RANK} int")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    kept = cand.join(seen, [USER_ID, ITEM_ID], "left_anti")
-    w = Window.partitionBy(USER_ID).orderBy(F.desc(SCORE), F.asc(ITEM_ID))
-    return (kept.withColumn(RANK, F.row_number().over(w))
-            .filter(F.col(RANK) <= n))
+    ``seen``: (user_id, game_id) pairs (duplicates allowed).  Each user's sorted seen ids travel
+    with the factor and are skipped while a block of items is scored."""
+    lists = topn.recommend(model, n, users, seen.select(USER_ID, ITEM_ID))
+    return flatten(topn.as_recommendations(lists))

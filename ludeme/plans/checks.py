@@ -15,6 +15,7 @@ from ludeme.functions.metrics import dot
 from ludeme.operators import evaluate, hybrid, recommend, split
 from ludeme.operators.als import (COMBINED_PARAMS, EXPLICIT_PARAMS, LOG_PARAMS, PLAY_PARAMS,
                                   factor_tables)
+from ludeme.operators.fit_check import fit_report
 from ludeme.operators.tune import best_trial
 from ludeme.plans import queries as q
 from ludeme.plans.oracle import INDEXED, LOG
@@ -40,6 +41,50 @@ def _shape(lists: DataFrame, score: str = recommend.SCORE, rank: str = recommend
         F.count_if(F.coalesce("_up", F.lit(False))).alias("misordered"))
 
 
+def als_fit_check(spark, sf_dir):
+    """Per variant: users whose factor does not solve its own equations, or has a coordinate
+    below zero where none may be."""
+    out = None
+    for name, rule, params in VARIANTS:
+        one = fit_report(q.variant(spark, sf_dir, rule, params, name).model,
+                         q.prepared(spark, sf_dir, rule).train, params).select(
+            F.lit(name).alias("variant"), "users", "ratings", "unsolved", "below_zero")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def tuning_ledger_check(spark, sf_dir):
+    """What a run's ledger holds after it was begun with three trials and resumed, each trial's
+    score on the validation split, and whether its bundle can be read as it was committed."""
+    ledger, result, p = q.validated(spark, sf_dir)
+    scored = result.trials.select("trial", "rows_scored", _finite("rmse").alias("rmse_finite"))
+    rows = ledger.rows()
+    whole = [(r["trial"], ledger.bundle(r["run_id"], r["trial"]).params.max_iter == r["max_iter"]
+              and ledger.bundle(r["run_id"], r["trial"]).items.size == p.items.size,
+              r["trial"] in result.resumed) for r in rows.collect()]
+    read = spark.createDataFrame(whole, "trial int, bundle_whole boolean, resumed boolean")
+    return rows.join(read, "trial").join(scored, "trial").select(
+        "run_id", "variant", "trial", "rank", "reg_param", "max_iter", "seed", "bundle_whole",
+        "resumed", "rows_scored", "rmse_finite")
+
+
+def validated_test_check(spark, sf_dir):
+    """Trials with a score on the test split: the best on the validation split alone."""
+    v = q.q_tuning_validated(spark, sf_dir)
+    best = v.orderBy(F.asc_nulls_last("rmse"), "trial").limit(1).select(F.col("trial").alias("_t"))
+    on = F.col("test_rows").isNotNull()
+    return v.join(F.broadcast(best), F.col("trial") == F.col("_t"), "left").agg(   # one row
+        F.count_if(on).alias("tested"), F.count_if(on & F.col("_t").isNotNull()).alias("tested_best"),
+        F.max("test_rows").alias("test_rows"))
+
+
+def split_by_content(spark, sf_dir):
+    """A log without row ids, keyed by content and a running number among equal rows."""
+    log = q.log_of(spark, sf_dir).select(MEMBER, ITEM, ACTION)
+    return split.with_split(split.with_row_keys(log)).select(ROW_KEY, MEMBER, ITEM, ACTION,
+                                                             split.SPLIT)
+
+
 def als_rmse_check(spark, sf_dir):
     out = None
     for name, rule, params in VARIANTS:
@@ -112,6 +157,20 @@ def recs_all_users_check(spark, sf_dir):
     return _shape(_lists(spark, sf_dir))
 
 
+def recs_exact_check(spark, sf_dir):
+    """Lists of the blocked top-N against MLlib's own scorer, place by place: users, and places
+    whose scores differ by more than single precision allows or that only one of them has."""
+    model = q.best_model(spark, sf_dir)
+    own = recommend.flatten(recommend.recommend_all(model, q.TOP_N))
+    other = recommend.flatten(model.recommendForAllUsers(q.TOP_N)).select(
+        F.col(USER_ID).alias("_u"), F.col(recommend.RANK).alias("_r"), F.col(recommend.SCORE).alias("_s"))
+    near = F.abs(F.col(recommend.SCORE) - F.col("_s")) <= 1e-5 * F.greatest(F.abs("_s"), F.lit(1.0))
+    both = own.join(other, (F.col(USER_ID) == F.col("_u")) & (F.col(recommend.RANK) == F.col("_r")),
+                    "full")
+    return both.agg(F.count_distinct(USER_ID).alias("users"),
+                    F.count_if(~F.coalesce(near, F.lit(False))).alias("differing"))
+
+
 def recs_for_users_check(spark, sf_dir):
     one = spark.createDataFrame([(0,)], f"{USER_ID} int")
     return _shape(_lists(spark, sf_dir, one))
@@ -153,7 +212,7 @@ def csv_round_trip(spark, sf_dir):
 
 def top_purchase_count(spark, sf_dir):
     """Items by number of purchases (the sum of ``value`` where each purchase has 1)."""
-    return q.log_of(spark, sf_dir).filter(F.col(ACTION) == PURCHASE).groupBy(ITEM).agg(
+    return q.actions_of(spark, sf_dir).filter(F.col(ACTION) == PURCHASE).groupBy(ITEM).agg(
         F.count(F.lit(1)).alias("purchases")).orderBy(F.desc("purchases"), ITEM).limit(q.TOP_N)
 
 
@@ -166,8 +225,9 @@ def split_hash_lineitem(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
+    als_fit_check, tuning_ledger_check, validated_test_check, split_by_content,
     als_rmse_check, als_factors_check, als_predictions_check, variant_comparison_check,
-    tuning_check, best_trial_check, split_random_check, recs_all_users_check,
+    tuning_check, best_trial_check, split_random_check, recs_all_users_check, recs_exact_check,
     recs_for_users_check, recs_unseen_check, ranking_metrics_check, hybrid_recs_check,
     csv_round_trip, top_purchase_count, load_lineitem, split_hash_lineitem)}
 
@@ -204,7 +264,39 @@ k AS (
 _LIST = """least(10, ni.n) AS items, least(10, ni.n) AS distinct_items,
        CAST(0 AS BIGINT) AS misordered"""
 
+_VALIDATED = INDEXED + """,
+b AS (SELECT *, ('0x' || substr(md5('42|' || CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 1000000
+             AS bucket FROM r WHERE rating IS NOT NULL),
+tu AS (SELECT DISTINCT user_id FROM b WHERE bucket < 700000),
+ti AS (SELECT DISTINCT game_id FROM b WHERE bucket < 700000),
+sc AS (SELECT b.* FROM b JOIN tu USING (user_id) JOIN ti USING (game_id))"""
+
 ORACLE_SQL = {
+    "als_fit_check": f"""WITH {_SCORED}
+SELECT variant, count(DISTINCT member_id) AS users, count(*) AS ratings,
+       CAST(0 AS BIGINT) AS unsolved, CAST(0 AS BIGINT) AS below_zero
+FROM v WHERE split = 'train' AND rating IS NOT NULL GROUP BY variant""",
+    "tuning_ledger_check": f"""WITH {_VALIDATED},
+g AS (SELECT * FROM (VALUES (5), (15)) a(rank),
+             (VALUES (CAST(0.01 AS DOUBLE)), (0.1)) b(reg_param), (VALUES (5), (10)) c(max_iter)),
+t AS (SELECT *, CAST(row_number() OVER (ORDER BY rank, reg_param, max_iter) - 1 AS INTEGER) AS trial
+      FROM g),
+n AS (SELECT count(*) AS n FROM sc WHERE bucket >= 700000 AND bucket < 800000)
+SELECT 'grid' AS run_id, 'log' AS variant, trial, rank, reg_param, max_iter,
+       CAST(42 AS BIGINT) AS seed, true AS bundle_whole, trial < 3 AS resumed, n.n AS rows_scored,
+       true AS rmse_finite
+FROM t, n""",
+    "validated_test_check": f"""WITH {_VALIDATED}
+SELECT CAST(1 AS BIGINT) AS tested, CAST(1 AS BIGINT) AS tested_best, count(*) AS test_rows
+FROM sc WHERE bucket >= 800000""",
+    "split_by_content": rf"""WITH {LOG},
+k AS (SELECT member_id, game, behaviour, row_number() OVER (PARTITION BY member_id, game, behaviour)
+             AS n FROM log),
+e AS (SELECT member_id, game, behaviour, concat_ws('|', CAST(member_id AS VARCHAR),
+        coalesce(regexp_replace(game, '([\\|])', '\\\1', 'g'), '\N'), behaviour,
+        CAST(n AS VARCHAR)) AS event_id FROM k)
+SELECT *, CASE WHEN (('0x' || substr(md5('42|' || event_id), 1, 8))::BIGINT % 1000000) < 800000
+               THEN 'train' ELSE 'test' END AS split FROM e""",
     "als_rmse_check": f"""WITH {_SCORED}
 SELECT variant, count(*) AS rows_scored, true AS rmse_finite FROM sc GROUP BY variant""",
     "als_factors_check": f"""WITH {_TRAIN}
@@ -236,6 +328,8 @@ FROM sc WHERE variant = 'log'""",
     "split_random_check": f"""WITH {LOG}
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS on_both, true AS share_holds FROM log""",
     "recs_all_users_check": f"WITH {_TRAIN} SELECT user_id, {_LIST} FROM tu, ni",
+    "recs_exact_check": f"""WITH {_TRAIN}
+SELECT count(*) AS users, CAST(0 AS BIGINT) AS differing FROM tu""",
     "recs_for_users_check": f"WITH {_TRAIN} SELECT user_id, {_LIST} FROM tu, ni WHERE user_id = 0",
     "recs_unseen_check": f"""WITH {_TRAIN},
 c AS (SELECT user_id, least(10, any_value(ni.n) - count(DISTINCT game_id)) AS items

@@ -40,6 +40,23 @@ FROM log WHERE behaviour = '{action}'
 GROUP BY game ORDER BY {alias} DESC, game LIMIT 10"""
 
 
+# Users' mean vectors of what they rated, as hybrid lists use them.
+PROFILES = INDEXED + """,
+emb AS (SELECT CAST(vec_id AS VARCHAR) AS game, CAST(embedding AS DOUBLE[]) AS vector
+        FROM embeddings),
+tr AS (SELECT r.user_id, r.rating, e.vector
+       FROM r JOIN emb e USING (game) WHERE r.split = 'train' AND r.rating > 0),
+el AS (SELECT user_id, rating, generate_subscripts(vector, 1) AS i, unnest(vector) AS x
+       FROM tr),
+pe AS (SELECT user_id, i, sum(rating * x) / sum(rating) AS v FROM el GROUP BY user_id, i),
+prof AS (SELECT user_id, list(v ORDER BY i) AS profile FROM pe GROUP BY user_id)"""
+
+
+def _unit(vector: str) -> str:
+    return (f"list_transform({vector}, lambda x: CAST(CAST(x / sqrt(list_dot_product({vector}, "
+            f"{vector})) AS FLOAT) AS DOUBLE))")
+
+
 ORACLE_SQL: dict[str, str] = {
     "load_interactions": f"WITH {LOG} SELECT * FROM log",
     "preview": f"WITH {LOG} SELECT * FROM log ORDER BY event_id LIMIT 10",
@@ -122,15 +139,7 @@ SELECT 10 AS k, count(*) AS users,
        ROUND(avg(coalesce(pu.hits, 0) / 10.0), 6) AS precision_at_k,
        ROUND(avg(coalesce(pu.prec_sum, 0) / least(nr.nrel, 10)), 6) AS map_at_k
 FROM nr LEFT JOIN pu USING (user_id)""",
-    "item_similarity": f"""WITH {INDEXED},
-emb AS (SELECT CAST(vec_id AS VARCHAR) AS game, CAST(embedding AS DOUBLE[]) AS vector
-        FROM embeddings),
-tr AS (SELECT r.user_id, r.rating, e.vector
-       FROM r JOIN emb e USING (game) WHERE r.split = 'train' AND r.rating > 0),
-el AS (SELECT user_id, rating, generate_subscripts(vector, 1) AS i, unnest(vector) AS x
-       FROM tr),
-pe AS (SELECT user_id, i, sum(rating * x) / sum(rating) AS v FROM el GROUP BY user_id, i),
-prof AS (SELECT user_id, list(v ORDER BY i) AS profile FROM pe GROUP BY user_id),
+    "content_scores": f"""WITH {PROFILES},
 t AS (SELECT r.event_id, r.user_id, r.game, p.profile, e.vector
       FROM r LEFT JOIN prof p USING (user_id) LEFT JOIN emb e USING (game)
       WHERE r.split = 'test')
@@ -140,6 +149,49 @@ SELECT event_id, user_id, game,
                   THEN list_dot_product(profile, vector)
                        / (sqrt(list_dot_product(profile, profile))
                           * sqrt(list_dot_product(vector, vector))) END, 6) AS content_score
+FROM t""",
+    "item_neighbours": f"""WITH {LOG},
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v),
+q AS (SELECT * FROM u WHERE vec_id IN (SELECT TRY_CAST(game AS BIGINT) FROM log)),
+s AS (SELECT q.vec_id AS item, u.vec_id AS neighbour,
+             ROUND(list_dot_product(q.e, u.e), 9) AS similarity
+      FROM q JOIN u ON q.vec_id <> u.vec_id)
+SELECT * FROM (
+  SELECT item, CAST(row_number() OVER (PARTITION BY item ORDER BY similarity DESC, neighbour)
+                    AS INTEGER) AS rank, neighbour, similarity FROM s)
+WHERE rank <= 10
+""",
+    "ranking_content": f"""WITH {PROFILES},
+f AS (SELECT user_id, {_unit('profile')} AS p FROM prof),
+g AS (SELECT gd.game_id, {_unit('vector')} AS v FROM gd JOIN emb USING (game)),
+top AS (SELECT user_id, game_id, row_number() OVER (
+          PARTITION BY user_id ORDER BY CAST(list_dot_product(p, v) AS FLOAT) DESC, game_id) AS rnk
+        FROM f, g QUALIFY rnk <= 10),
+rel AS (SELECT DISTINCT user_id, game_id FROM r WHERE split = 'test' AND rating > 0),
+hits AS (SELECT user_id, rnk, row_number() OVER (PARTITION BY user_id ORDER BY rnk) AS h
+         FROM top JOIN rel USING (user_id, game_id)),
+pu AS (SELECT user_id, count(*) AS hits, sum(CAST(h AS DOUBLE) / rnk) AS prec_sum
+       FROM hits GROUP BY user_id),
+nr AS (SELECT user_id, count(*) AS nrel FROM rel GROUP BY user_id)
+SELECT 10 AS k, count(*) AS users,
+       ROUND(avg(coalesce(pu.hits, 0) / 10.0), 6) AS precision_at_k,
+       ROUND(avg(coalesce(pu.prec_sum, 0) / least(nr.nrel, 10)), 6) AS map_at_k
+FROM nr LEFT JOIN pu USING (user_id)""",
+    "cold_start_entities": f"""WITH {LOG},
+h AS (SELECT *, ('0x' || substr(md5('42|cold-user|' || member_id), 1, 8))::BIGINT % 1000000 < 100000
+             OR ('0x' || substr(md5('42|cold-item|' || game), 1, 8))::BIGINT % 1000000 < 100000 AS test
+      FROM log WHERE behaviour = 'purchase' OR value > -1),
+tu AS (SELECT DISTINCT member_id FROM h WHERE NOT test),
+ti AS (SELECT DISTINCT game FROM h WHERE NOT test),
+t AS (SELECT tu.member_id IS NULL AS u_cold, ti.game IS NULL AS i_cold
+      FROM h LEFT JOIN tu ON h.member_id = tu.member_id LEFT JOIN ti ON h.game = ti.game
+      WHERE h.test)
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE NOT u_cold AND NOT i_cold) AS scored,
+       count(*) FILTER (WHERE u_cold OR i_cold) AS dropped,
+       count(*) FILTER (WHERE u_cold) AS unseen_user,
+       count(*) FILTER (WHERE i_cold) AS unseen_item
 FROM t""",
     "cold_start_report": f"""WITH {LOG},
 p AS (SELECT event_id, member_id, game,
@@ -165,3 +217,4 @@ SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "co
        "null" = 'YES' AS nullable
 FROM (DESCRIBE SELECT * FROM log)""",
 }
+ORACLE_SQL["item_similarity"] = ORACLE_SQL["content_scores"]

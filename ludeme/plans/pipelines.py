@@ -1,8 +1,8 @@
 """End-to-end plans: log -> ratings -> ids -> split -> ALS -> metrics / lists.
 
 The notebook's three cases are one function with a rating rule.  The indexed,
-split-tagged ratings are written once to the shared checkpoint folder and
-both splits read that copy, so every model fit and evaluation after it starts
+split-tagged ratings are written once to the shared checkpoint folder, a folder
+for each split, and every split reads only its own, so every model fit and evaluation after it starts
 from a fixed, lineage-free table (executor loss costs a re-read, not a
 re-derivation from the raw log).
 """
@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from ludeme.functions.rating_rules import RULES, RatingRule
 from ludeme.operators.als import ALSParams, fit_als
-from ludeme.operators.evaluate import baseline_rmse, rmse_report
+from ludeme.operators.evaluate import rmse_report
 from ludeme.operators.indexing import IndexModel, index_ratings
 from ludeme.operators.ratings import build_ratings
-from ludeme.operators.split import SPLIT, default_key, random_split, with_split
+from ludeme.operators.split import (SPLIT, default_key, entity_split, random_split, with_row_keys,
+                                    with_split)
 from ludeme.plans.session import ensure_checkpoint_dir, materialize
 from ludeme.sources.schema import ITEM_ID, PREDICTION, RATING, ROW_KEY, USER_ID
 
@@ -43,16 +44,21 @@ def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
             pair_agg: str | None = None, handle_invalid: str = "error") -> Prepared:
     """Ratings under ``rule`` -> dense ids -> split, written once.
 
+    ``split``: ``hash`` (by row or pair), ``random``, or ``entity``, which holds out whole users
+    and items (half of the last weight of each).  A log without row ids gets some for the hash split.
     Three weights give train / validation / test: tune on validation, then
     score the chosen model on test once (the notebook picks its trial on the
     test split itself)."""
     rule = RULES[rule] if isinstance(rule, str) else rule
     ensure_checkpoint_dir(log.sparkSession)
+    if split == "hash" and by == "row" and pair_agg is None and ROW_KEY not in log.columns:
+        log = with_row_keys(log)    # equal rows fall on both sides
     # A NULL rating (no value, or the log of a value of -1 or less) would end every fit.
     ratings = build_ratings(log, rule, pair_agg).filter(F.col(RATING).isNotNull())
     key = default_key(ratings, by)
     ir = index_ratings(ratings, handle_invalid=handle_invalid)
-    keep = [c for c in dict.fromkeys([*key, USER_ID, ITEM_ID, RATING,
+    labels = [ir.users.input_col] if split == "entity" else []
+    keep = [c for c in dict.fromkeys([*key, *labels, USER_ID, ITEM_ID, RATING,
                                       ir.users.input_col, ir.items.input_col])
             if c in ir.df.columns]
     names = ("train", "test") if len(weights) == 2 else ("train", "validation", "test")
@@ -60,7 +66,14 @@ def prepare(log: DataFrame, rule: RatingRule | str, *, split: str = "hash",
         raise ValueError("weights: (train, test) or (train, validation, test)")
     if split == "hash":
         data = with_split(ir.df.select(*keep), weights, names, seed, key)
-        data = materialize(data, "prepared")
+        data = materialize(data, "prepared", SPLIT)
+        parts = [data.filter(F.col(SPLIT) == n).drop(SPLIT) for n in names]
+    elif split == "entity":
+        share = weights[-1] / sum(weights) / 2    # of the users, and of the items
+        data = entity_split(ir.df.select(*keep), share, share, seed, ir.users.input_col,
+                            ir.items.input_col)
+        data = materialize(data, "prepared", SPLIT)
+        names = ("train", "test")
         parts = [data.filter(F.col(SPLIT) == n).drop(SPLIT) for n in names]
     elif split == "random":
         data = materialize(ir.df.select(*keep), "prepared")
@@ -104,9 +117,4 @@ def variant_row(res: VariantResult, prep: Prepared) -> DataFrame:
     ).withColumn("rmse_ratio", F.col("rmse") / F.col("rmse_zero"))
 
 
-def baselines(prep: Prepared) -> DataFrame:
-    return baseline_rmse(prep.train, prep.test)
-
-
-__all__ = ["Prepared", "prepare", "VariantResult", "run_variant", "variant_row", "baselines",
-           "ROW_KEY"]
+__all__ = ["Prepared", "prepare", "VariantResult", "run_variant", "variant_row"]

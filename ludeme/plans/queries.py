@@ -18,13 +18,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludeme.operators import evaluate, hybrid, profile, ratings, recommend, split, toplists
+from ludeme.operators import (evaluate, hybrid, neighbours, profile, ratings, recommend, split,
+                              toplists)
 from ludeme.operators.als import (COMBINED_PARAMS, EXPLICIT_PARAMS, LOG_PARAMS, PLAY_PARAMS,
                                   ALSParams, cold_start_report, factor_tables)
 from ludeme.operators.indexing import fit_index
 from ludeme.operators.joins import lookup_join
-from ludeme.operators.tune import best_trial, param_grid, tune
+from ludeme.operators.tune import TrialLedger, best_trial, param_grid, tune
 from ludeme.plans.pipelines import Prepared, VariantResult, prepare, run_variant, variant_row
+from ludeme.plans.session import scratch_path
 from ludeme.sources.interactions import events_log, table
 from ludeme.sources.schema import ITEM, ITEM_ID, MEMBER, PREDICTION, RATING, ROW_KEY, USER_ID
 
@@ -49,9 +51,21 @@ def log_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_log(spark, sf_dir)
 
 
-def prepared(spark: SparkSession, sf_dir: str, rule: str) -> Prepared:
-    return _cached(spark, sf_dir, ("prep", rule),
-                   lambda: prepare(log_of(spark, sf_dir), rule))
+def actions_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in a form whose filters on one action reach the scan."""
+    return events_log(spark, sf_dir, branches=True)
+
+
+def clear_cache(spark: SparkSession) -> None:
+    """Forgets what was fitted in this application; written copies stay."""
+    for k in [k for k in _CACHE if k[0] == spark.sparkContext.applicationId]:
+        del _CACHE[k]
+
+
+def prepared(spark: SparkSession, sf_dir: str, rule: str, split: str = "hash",
+             weights: tuple[float, ...] = (0.8, 0.2)) -> Prepared:
+    return _cached(spark, sf_dir, ("prep", rule, split, weights),
+                   lambda: prepare(log_of(spark, sf_dir), rule, split=split, weights=weights))
 
 
 def variant(spark: SparkSession, sf_dir: str, rule: str, params: ALSParams,
@@ -68,6 +82,24 @@ def tuned(spark: SparkSession, sf_dir: str):
     return _cached(spark, sf_dir, ("tune", "log"), make)
 
 
+#: Tuned on a validation split, iterations an axis of the grid.
+VALIDATED_SPLIT = (0.7, 0.1, 0.2)
+VALIDATED_GRID = {"ranks": (5, 15), "regs": (0.01, 0.1), "iters": (5, 10)}
+
+
+def validated(spark: SparkSession, sf_dir: str):
+    """(ledger, result, prepared) of a run that is begun with some of its trials and then resumed."""
+    def make():
+        p = prepared(spark, sf_dir, "log", weights=VALIDATED_SPLIT)
+        ledger = TrialLedger(spark, scratch_path(spark, "ledger"))
+        grid = param_grid(LOG_PARAMS, **VALIDATED_GRID)
+        own = {"variant": "log", "rows": p.rows, "ledger": ledger, "run_id": "grid",
+               "users": p.users, "items": p.items}
+        tune(p.train, p.validation, grid[:3], **own)
+        return ledger, tune(p.train, p.validation, grid, **own), p
+    return _cached(spark, sf_dir, ("validated", "log"), make)
+
+
 def best_model(spark: SparkSession, sf_dir: str):
     return tuned(spark, sf_dir).best()[2]
 
@@ -103,7 +135,7 @@ def q_null_audit(spark, sf_dir):
 
 
 def q_playtime_stats(spark, sf_dir):
-    return _r6(profile.playtime_stats(log_of(spark, sf_dir)), "mean", "stddev")
+    return _r6(profile.playtime_stats(actions_of(spark, sf_dir)), "mean", "stddev")
 
 
 def q_clean_interactions(spark, sf_dir):
@@ -111,7 +143,7 @@ def q_clean_interactions(spark, sf_dir):
 
 
 def _view(spark, sf_dir) -> str:
-    return toplists.register_view(log_of(spark, sf_dir), "interactions")
+    return toplists.register_view(actions_of(spark, sf_dir), "interactions")
 
 
 def q_sql_top_played(spark, sf_dir):
@@ -125,7 +157,7 @@ def q_sql_top_purchased(spark, sf_dir):
 # ---------------------------------------------------------------- ratings / ids / split
 
 def q_ratings_play(spark, sf_dir):
-    return ratings.ratings_play(log_of(spark, sf_dir)).select(ROW_KEY, MEMBER, ITEM, RATING)
+    return ratings.ratings_play(actions_of(spark, sf_dir)).select(ROW_KEY, MEMBER, ITEM, RATING)
 
 
 def q_ratings_combined(spark, sf_dir):
@@ -189,9 +221,8 @@ def q_ratings_with_titles(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     train_items = fit_index(p.train, ITEM, "train_game_id")
     titled = lookup_join(p.test.select(ROW_KEY, USER_ID, ITEM),
-                         train_items.dictionary.select(ITEM, "train_game_id", "n"), ITEM,
-                         dim_rows=train_items.size, how="left", weight_col="n",
-                         total_weight=train_items.rows)
+                         train_items.dictionary.select(ITEM, "train_game_id"), ITEM,
+                         dim_bytes=train_items.bytes, how="left")
     return titled.select(ROW_KEY, USER_ID, ITEM, "train_game_id")
 
 
@@ -268,8 +299,7 @@ def q_variant_comparison(spark, sf_dir):
 def q_recs_all_users(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     return recommend.order_for_display(
-        recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N,
-                              num_users=p.users.size))
+        recommend.titled_recs(best_model(spark, sf_dir), p.items, TOP_N))
 
 
 def q_recs_for_users(spark, sf_dir):
@@ -288,12 +318,47 @@ def q_recs_unseen(spark, sf_dir):
 
 def q_ranking_metrics(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
-    ranked = recommend.flatten(recommend.recommend_all(best_model(spark, sf_dir), TOP_N,
-                                                        p.users.size))
+    ranked = recommend.flatten(recommend.recommend_all(best_model(spark, sf_dir), TOP_N))
     return evaluate.ranking_metrics(ranked, evaluate.relevant_pairs(p.test), TOP_N)
 
 
-def q_item_similarity(spark, sf_dir):
+def q_cold_start_entities(spark, sf_dir):
+    """The report on a split that holds out whole users and items."""
+    p = prepared(spark, sf_dir, "log", "entity")
+    res = _cached(spark, sf_dir, ("cold", "log"), lambda: run_variant(p, LOG_PARAMS, "log"))
+    return cold_start_report(res.model, p.test)
+
+
+def q_item_neighbours(spark, sf_dir):
+    """The ten nearest of all embeddings for every item of the log."""
+    index = neighbours.build_index(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    items = prepared(spark, sf_dir, "log").items.dictionary.select(
+        F.expr(f"try_cast({ITEM} AS bigint)").alias("id"))
+    return neighbours.neighbours(index, items, TOP_N).select(
+        F.col("query").alias("item"), "rank", F.col("id").alias("neighbour"), "similarity")
+
+
+def q_ranking_content(spark, sf_dir):
+    """Ranking metrics of lists by content score."""
+    p = prepared(spark, sf_dir, "log")
+    vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
+    ranked = hybrid.content_lists(hybrid.user_profiles(p.train, vecs, items=p.items), p.items, vecs,
+                                  TOP_N)
+    return _r6(evaluate.ranking_metrics(ranked, evaluate.relevant_pairs(p.test), TOP_N),
+               "precision_at_k", "map_at_k")
+
+
+def q_tuning_validated(spark, sf_dir):
+    """The trials on the validation split, and the best one's score on the test split."""
+    _, result, p = validated(spark, sf_dir)
+    t, params, model, _ = result.best()
+    test = evaluate.rmse_report(model.transform(p.test)).select(
+        F.lit(t).alias("trial"), F.col("rmse").alias("test_rmse"),
+        F.col("rows_scored").alias("test_rows"))
+    return result.trials.join(test, "trial", "left")    # one row
+
+
+def q_content_scores(spark, sf_dir):
     p = prepared(spark, sf_dir, "log")
     vecs = hybrid.item_vectors_from_embeddings(table(spark, sf_dir, "embeddings"))
     prof = hybrid.user_profiles(p.train, vecs, items=p.items)
@@ -334,7 +399,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_with_titles": q_ratings_with_titles,
     "rmse_baseline": q_rmse_baseline,
     "ranking_popularity": q_ranking_popularity,
-    "item_similarity": q_item_similarity,
+    "content_scores": q_content_scores,
+    "item_similarity": q_content_scores,    # its name so far
+    "item_neighbours": q_item_neighbours,
+    "ranking_content": q_ranking_content,
+    "cold_start_entities": q_cold_start_entities,
+    "tuning_validated": q_tuning_validated,
     "als_play": q_als_play,
     "als_combined": q_als_combined,
     "als_log": q_als_log,

@@ -34,7 +34,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.default.parallelism", str(cores))
-        .config("spark.driver.memory", os.environ.get("LUDEME_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LUDEME_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in SCALE_CONF.items():
@@ -46,7 +46,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process on one machine: ``local-cluster`` is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -87,12 +89,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: str | None = None):
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder
     and reading it back (ONE job; ``DataFrame.checkpoint`` computes its input
     twice).  The copy survives executor loss and gives Catalyst exact size
-    statistics for later broadcast decisions."""
+    statistics for later broadcast decisions.  ``partition_by``: a column of few values
+    that later reads select by, each a folder of its own."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    out = df.write.mode("overwrite")
+    (out.partitionBy(partition_by) if partition_by else out).parquet(path)
     return spark.read.parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,6 @@ def read_interactions_csv(spark: SparkSession, path: str | Sequence[str],
             .csv(path))
 
 
-def read_interactions_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Parquet scan of a log already in canonical columns (filters and projections
-    reach the scan as ``PushedFilters`` / ``ReadSchema``)."""
-    return spark.read.parquet(*([path] if isinstance(path, str) else path))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -47,17 +41,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 EVENT_ACTIONS = {"purchase": PURCHASE, "view": PLAY, "click": PLAY}
 
 
-def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_log(spark: SparkSession, sf_dir: str, branches: bool = False) -> DataFrame:
     """Bind ``events`` to the log: user -> member, ``props.k`` -> item,
-    purchase -> purchase, view/click -> play, other event types left out."""
+    purchase -> purchase, view/click -> play, other event types left out.
+
+    One scan reads the whole log, and maps the action row by row.  With ``branches`` the log is a
+    union with one branch per action, whose action is a literal: a filter on the action drops the
+    other branches and reaches the scan as a filter on ``event_type``.  The right form for queries
+    of one action; a query of all of them would read the table once per action."""
     ev = table(spark, sf_dir, "events")
-    mapping = F.create_map(*[F.lit(x) for kv in EVENT_ACTIONS.items() for x in kv])
-    return (ev.filter(F.col("event_type").isin(*EVENT_ACTIONS))
-            .select(F.col("event_id").alias(ROW_KEY),
-                    F.col("user_id").alias(MEMBER),
-                    F.get_json_object("props", "$.k").alias(ITEM),
-                    mapping[F.col("event_type")].alias(ACTION),
-                    F.col("value").alias(VALUE)))
+
+    def bound(rows: DataFrame, action: Column) -> DataFrame:
+        return rows.select(F.col("event_id").alias(ROW_KEY), F.col("user_id").alias(MEMBER),
+                           F.get_json_object("props", "$.k").alias(ITEM), action.alias(ACTION),
+                           F.col("value").alias(VALUE))
+    if not branches:
+        mapping = F.create_map(*[F.lit(x) for kv in EVENT_ACTIONS.items() for x in kv])
+        return bound(ev.filter(F.col("event_type").isin(*EVENT_ACTIONS)),
+                     mapping[F.col("event_type")])
+    out = None
+    for action in dict.fromkeys(EVENT_ACTIONS.values()):
+        types = [t for t, a in EVENT_ACTIONS.items() if a == action]
+        one = bound(ev.filter(F.col("event_type").isin(*types)), F.lit(action))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,15 +89,3 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(PLAY).alias(ACTION),
         F.col("l_quantity").alias(VALUE))
 
-
-BINDINGS = {"events": events_log, "lineitem": lineitem_log}
-
-
-def load_log(spark: SparkSession, sf_dir: str, binding: str = "events") -> DataFrame:
-    return BINDINGS[binding](spark, sf_dir)
-
-
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str
-                 ) -> DataFrame:
-    """A small literal table (e.g. the one-user subset for targeted recommendations)."""
-    return spark.createDataFrame(list(rows), schema)

@@ -45,3 +45,19 @@ TUNING_RUNS_SCHEMA = T.StructType([
     T.StructField("rmse", T.DoubleType(), True),
     T.StructField("rows_scored", T.LongType(), False),
 ])
+
+#: A finished trial of a run; ``run_id`` and ``trial`` are the folders it lies in.
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("variant", T.StringType(), True),
+    T.StructField("rank", T.IntegerType(), True),
+    T.StructField("reg_param", T.DoubleType(), True),
+    T.StructField("max_iter", T.IntegerType(), True),
+    T.StructField("seed", T.LongType(), True),
+    T.StructField("num_blocks", T.IntegerType(), True),
+    T.StructField("item_blocks", T.IntegerType(), True),
+    T.StructField("data", T.StringType(), True),
+    T.StructField("fit_seconds", T.DoubleType(), True),
+    T.StructField("bundle", T.StringType(), True),
+    T.StructField("run_id", T.StringType(), True),
+    T.StructField("trial", T.IntegerType(), True),
+])

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ludeme.operators import evaluate, recommend
-from ludeme.operators.als import ALSParams, cold_start_report, factor_tables, fit_als
+from ludeme.operators.als import ALSParams, cold_start_report, factor_tables, fit_als, sized
 from ludeme.operators.indexing import fit_indexes
 from ludeme.operators.joins import lookup_join
 from ludeme.operators.split import hash_split, with_split
-from ludeme.operators.tune import best_trial, param_grid, tune
+from ludeme.operators.tune import TrialLedger, best_trial, param_grid, tune
 from ludeme.plans.pipelines import prepare
 from ludeme.sources.sinks import ModelBundle, load_bundle, save_bundle
 
@@ -55,7 +55,7 @@ def test_prediction_is_factor_dot_product(planted):
 def test_topn_lists_match_brute_force(planted):
     _, prep, model = planted
     n = 5
-    recs = recommend.flatten(recommend.recommend_all(model, n, prep.users.size)).collect()
+    recs = recommend.flatten(recommend.recommend_all(model, n)).collect()
     uf = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
     itf = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
     by_user = {}
@@ -74,7 +74,7 @@ def test_topn_lists_match_brute_force(planted):
 
 def test_topn_stays_in_group(planted):
     _, prep, model = planted
-    titled = recommend.titled_recs(model, prep.items, 5, num_users=prep.users.size)
+    titled = recommend.titled_recs(model, prep.items, 5)
     users = prep.users.dictionary.select("member_id", "user_id")
     rows = titled.join(users, "user_id").collect()
     inside = sum((r["member_id"] // 1000) == int(r["game"][1]) for r in rows)
@@ -207,20 +207,20 @@ def test_factor_tables(planted):
 
 
 def test_tuning_grid_and_best(spark, planted, tmp_path):
-    from pyspark.ml.recommendation import ALSModel
     _, prep, _ = planted
     grid = param_grid(PARAMS, ranks=(2, 4), regs=(0.01, 0.1))
-    res = tune(prep.train, prep.test, grid, parallelism=2, rows=prep.rows,
-               model_dir=str(tmp_path / "models"), runs_table=str(tmp_path / "runs"))
+    ledger = TrialLedger(spark, str(tmp_path / "ledger"))
+    res = tune(prep.train, prep.test, grid, parallelism=2, rows=prep.rows, ledger=ledger,
+               run_id="r", users=prep.users, items=prep.items, runs_table=str(tmp_path / "runs"))
     assert spark.read.parquet(str(tmp_path / "runs")).count() == 4
-    assert ALSModel.load(str(tmp_path / "models" / "trial=3")).rank == 4
+    assert ledger.bundle("r", 3).model.rank == 4
     trials = res.trials.orderBy("trial").collect()
     assert [(r["rank"], r["reg_param"]) for r in trials] == [(2, 0.01), (2, 0.1), (4, 0.01),
                                                               (4, 0.1)]
     best = best_trial(res.trials).first()
     assert best["rmse"] == min(r["rmse"] for r in trials)
     t, p, _m, r = res.best()
-    assert t == best["trial"] and p == grid[t]
+    assert t == best["trial"] and p == sized(grid[t], prep.rows)
 
 
 def test_hash_split_is_layout_independent(spark, planted):
@@ -241,10 +241,9 @@ def test_salted_lookup_equals_broadcast(spark):
     facts = spark.createDataFrame(rows, "row long, k long")
     dims = fit_indexes(facts, [("k", "k_id")])[0]
     dim = dims.dictionary
-    b = lookup_join(facts, dim, "k", dim_rows=dims.size, how="left", weight_col="n",
-                    total_weight=dims.rows)
-    s = lookup_join(facts, dim, "k", dim_rows=dims.size, how="left", broadcast_rows=0,
-                    weight_col="n", total_weight=dims.rows, partitions=8)
+    b = lookup_join(facts, dim, "k", dim_bytes=dims.bytes, how="left")
+    s = lookup_join(facts, dim, "k", dim_bytes=dims.bytes, how="left", broadcast_bytes=0,
+                    partitions=8)
     assert b.select("row", "k", "k_id").exceptAll(s.select("row", "k", "k_id")).count() == 0
     assert s.count() == 3000
     plan = s._jdf.queryExecution().executedPlan().toString()
