@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text, in order."""
     spaced = F.translate(F.coalesce(text, F.lit("")), WHITE[1:], " " * 5)
@@ -45,7 +50,7 @@ SALTS = 8
 def row_salt(df: DataFrame, but: tuple[str, ...] = ()) -> Column:
     """A part from 0 by a row's own values (so retries agree), without the columns
     ``but`` and those that cannot be hashed."""
-    cols = [f.name for f in df.schema.fields
+    cols = [quoted(f.name) for f in df.schema.fields
             if f.name not in but and "map<" not in f.dataType.simpleString()]
     return F.pmod(F.xxhash64(*cols), F.lit(SALTS)) if cols else F.lit(0).cast("long")
 
