@@ -38,7 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludeme.llm.text import hash_words, mix, split_words, text_slices
+from ludeme.llm.text import (SALTS, every_salt, hash_words, mix, quoted, split_words,
+                             text_slices)
 from ludeme.plans.session import materialize, shuffle_partitions
 
 LOW = np.uint64(0xFFFFFFFFFFFF)  # bits of a shingle's hash that are kept beside its shard
@@ -95,7 +96,7 @@ def _shards(df: DataFrame, id_col: str, text_col: str, j: Join, shards: int) ->
                     yield _one_slice(some, own, j, shards)
                     own += 1
     kind = df.schema[id_col].dataType.simpleString()  # fields of a struct become nullable
-    return df.select(F.col(id_col).cast(kind).alias("_id"), F.col(text_col).alias("_text")) \
+    return df.select(quoted(id_col).cast(kind).alias("_id"), quoted(text_col).alias("_text")) \
         .mapInArrow(emit, "key long, slice long, blob binary")
 
 
@@ -152,7 +153,7 @@ def _shared(packed: DataFrame) -> DataFrame:
         back = np.argsort(where, kind="stable")
         h, n, at, where = h[back], n[back].astype("<u4"), at[back], where[back]
         found, a = np.unique(where, return_index=True)
-        z = np.append(a[1:], len(where))
+        z = np.append(a[1:], len(where))[:len(a)]  # none of two documents: nothing
         out = [h[i:k].tobytes() + n[i:k].tobytes() + at[i:k].tobytes()
                for i, k in zip(a, z, strict=True)]
         return pa.table({"slice": own[found], "kind": np.ones(len(found), np.int32),
@@ -339,14 +340,25 @@ class _Links:
         self.verify(pairs)
 
     def finish(self) -> None:
-        """Every pair of the lists and groups that is still in two components."""
+        """Every pair of the lists and groups that is still in two components.
+
+        Sets whose sizes differ by more than the threshold cannot link, so a list is joined
+        with itself by classes of size, each with itself and the next one; and a class's left
+        side is dealt to several parts, so no key holds a whole list."""
         g = self.groups()
         x = self.lists.join(self.open_lists(0).select("token"), "token").join(g, "grp")
-        y = x.select("token", F.col("grp").alias("g2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"),
+        by = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.j.percent))).cast("int") \
+            if self.j.percent < 100 else F.col("n").cast("int")
+        x = materialize(x.withColumn("by", by), "open-lists")
+        part = F.pmod(F.xxhash64("grp"), F.lit(SALTS))
+        y = x.select("token", F.explode(F.array(F.col("by") - 1, F.col("by"))).alias("by"),
+                     F.col("by").alias("by2"), every_salt().alias("part"),
+                     F.col("grp").alias("g2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"),
                      F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
         far = (F.col("lo") != F.col("lo2")) | (F.col("lo") != F.col("hi")) \
             | (F.col("lo2") != F.col("hi2"))
-        pairs = x.join(y, "token").filter((F.col("grp") < F.col("g2")) & far) \
+        once = (F.col("by") < F.col("by2")) | (F.col("grp") < F.col("g2"))
+        pairs = x.withColumn("part", part).join(y, ["token", "by", "part"]).filter(once & far) \
             .filter(self._fit("n", "rest", "n2", "rest2")).select("grp", "g2").distinct()
         pairs = pairs.unionByName(g.filter("lo < hi").select("grp", F.col("grp").alias("g2")))
         m = self.labelled(self.members).select("grp", "cls", "comp")
@@ -391,15 +403,16 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 j: Join = Join()) -> DataFrame:
     """``df`` without the near copies: of each component the row with the
     smallest id stays, and every row that links with nothing.  Of rows with
-    equal id and text one stays."""
-    key = F.struct(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    equal id and text one stays, the first by what its columns hold (as JSON)."""
+    key = F.struct(quoted(id_col).alias("id"), F.md5(F.coalesce(quoted(text_col), F.lit("")))
                    .alias("text"))
-    found = jaccard_components(df.select(key.alias("_key"), F.col(text_col).alias("_text")),
+    x = df.select(F.struct(*map(quoted, df.columns)).alias("_row"), key.alias("_of"))
+    found = jaccard_components(df.select(key.alias("_key"), quoted(text_col).alias("_text")),
                                "_key", "_text", j)
     stay = found.filter("doc_id <=> component_id").select(
         F.col("doc_id.id").alias("_id"), F.col("doc_id.text").alias("_md5")).distinct()
-    x = df.withColumn("_of", key)
     x = x.join(stay, F.col("_of.id").eqNullSafe(F.col("_id"))
                & (F.col("_of.text") == F.col("_md5")))
-    own = Window.partitionBy("_id", "_md5").orderBy(F.lit(1))
-    return x.withColumn("_nr", F.row_number().over(own)).filter("_nr = 1").select(*df.columns)
+    own = Window.partitionBy("_id", "_md5").orderBy(F.to_json("_row"))
+    x = x.withColumn("_nr", F.row_number().over(own)).filter("_nr = 1")
+    return x.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
