@@ -11,6 +11,7 @@ from ludeme.llm import (chat_format, hard_negatives, html_main, jaccard_join, kn
                         mixing, packing, quality, secrets, substrings, topk, url_lists)
 from ludeme.llm.oracle import ORACLE_SQL  # noqa: F401 (read by __spark_entry__)
 from ludeme.llm.text import table
+from ludeme.plans.session import scratch_path
 
 
 def op1_url_lists(spark, sf_dir):
@@ -28,7 +29,7 @@ def op3_best_fit_packing(spark, sf_dir):
 
 
 def op4_kneser_ney(spark, sf_dir):
-    return kn_lm.fit_and_score(table(spark, sf_dir, "documents"), t=kn_lm.Training(order=3))
+    return kn_lm.fit_and_score(table(spark, sf_dir, "documents"))
 
 
 #: A conversation whose texts hold the template's own marks.
@@ -67,8 +68,17 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 
 
 def op10_secret_scan(spark, sf_dir):
+    """The base rules by a first run over all texts, all rules by a second one, whose ledger has
+    the first's pairs and whose findings are joined back from both."""
     docs = table(spark, sf_dir, "documents")
-    return secrets.digest(secrets.secrets_of(docs, secrets.find(docs), ["doc_id"]))
+    store = spark.conf.get(secrets.STORE, None) or scratch_path(spark, "secrets")
+    secrets.find(docs, rules=secrets.BASE_RULES, store=store)
+    return secrets.digest(secrets.secrets_of(docs, secrets.find(docs, store=store), ["doc_id"]))
+
+
+def op10_base_spans(spark, sf_dir):
+    """The base columns alone, which SQL can express."""
+    return op10_secret_scan(spark, sf_dir).drop("spans")
 
 
 def op11_hard_negatives(spark, sf_dir):
@@ -96,4 +106,4 @@ def op13_substring_dedup(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_url_lists, op2_html_main_text, op3_best_fit_packing, op4_kneser_ney, op5_chat_format,
     op6_exact_top_k, op7_quality_rules, op8_source_mix, op9_ngram_jaccard_join,
-    op10_secret_scan, op11_hard_negatives, op12_merkle_manifest, op13_substring_dedup)}
+    op10_secret_scan, op10_base_spans, op11_hard_negatives, op12_merkle_manifest, op13_substring_dedup)}

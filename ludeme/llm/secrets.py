@@ -1,9 +1,12 @@
 """Secret scans over an incremental blob ledger (native).
 
-Every version of a text is addressed by its content (SHA-256).  The ledger
-lists the (blob, rule version) pairs that were scanned; a scan reads only the
-blobs for which some rule version is missing, runs only those rules on them,
-and joins the findings back to every path that holds the blob.
+Every version of a text is addressed by its content (SHA-256).  A store keeps the
+distinct texts by address, a ledger of the (blob, rule version) pairs that were
+scanned, and the findings.  A run compares addresses with the store and adds the
+texts that are new; it scans the blobs for which some rule version is missing, with
+only those rules, and joins the findings back to every path that holds the blob.
+A rule's version is its number and a digest of its pattern, so a changed pattern
+is a new version even if its number is not raised.
 
 Positions come from marking the matches of a rule and cutting the text at the
 marks, so a span costs no Python.  The marks are two noncharacters; where a
@@ -19,13 +22,15 @@ does not land in one.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ludeme.llm.text import every_salt, row_salt
+from ludeme.llm.text import every_salt, quoted, row_salt
+from ludeme.plans.session import materialize
 
 OPEN, CLOSE, OTHER = "﷐", "﷑", "�"
 
@@ -65,7 +70,8 @@ class Rule:
 
     @property
     def key(self) -> str:
-        return f"{self.kind}@{self.version}"
+        what = f"{self.pattern}\n{self.group}\n{self.least}\n{self.hints}"
+        return f"{self.kind}@{self.version}-{hashlib.sha256(what.encode()).hexdigest()[:12]}"
 
 
 #: The three base rules come first; the position orders spans of equal start.
@@ -152,8 +158,8 @@ def new_blobs(df: DataFrame, text_col: str = "text", ledger: DataFrame | None =
 
     Only 32-byte addresses are compared with the ledger before the texts are
     grouped, and equal texts of a task are combined before the shuffle."""
-    x = df.select(blob_of(F.col(text_col)).alias("blob"),
-                  F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    x = df.select(blob_of(quoted(text_col)).alias("blob"),
+                  F.coalesce(quoted(text_col), F.lit("")).alias("text"))
     if ledger is not None:
         x = unseen(x, ledger, rules).drop("todo")
     return unseen(x.dropDuplicates(["blob"]), ledger, rules)
@@ -177,25 +183,60 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def add_blobs(df: DataFrame, store: str, text_col: str = "text") -> None:
+    """Adds the texts of ``df`` that the store does not hold.
+
+    Addresses are compared first, so only texts that are new are shuffled."""
+    spark = df.sparkSession
+    x = df.select(blob_of(quoted(text_col)).alias("blob"),
+                  F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    have = _stored(spark, f"{store}/blobs", BLOBS).select("blob")
+    if not have.isEmpty():
+        new = materialize(x.select("blob").distinct().join(have, "blob", "left_anti"), "addresses")
+        if new.isEmpty():
+            return
+        x = x.join(new, "blob", "left_semi")
+    x.dropDuplicates(["blob"]).write.mode("append").parquet(f"{store}/blobs")
+
+
+BLOBS, LEDGER = "blob string, text string", "blob string, rule string"
+FINDINGS = "blob string, rule string, start long, end long"
+
+
+def unscanned(spark: SparkSession, store: str, rules=RULES) -> DataFrame:
+    """(blob, text, todo) of the store's blobs that some rule version has not seen.
+
+    Where all lack the same versions, as after a new text or a new rule, no text is joined."""
+    blobs = _stored(spark, f"{store}/blobs", BLOBS)
+    done = _stored(spark, f"{store}/ledger", LEDGER)
+    lacking = materialize(unseen(blobs.select("blob"), done, rules), "lacking")
+    sets = lacking.groupBy("todo").agg(F.count(F.lit(1)).alias("n")).limit(2).collect()
+    if not sets:
+        return blobs.limit(0).withColumn("todo", F.array().cast("array<string>"))
+    if len(sets) == 1 and sets[0]["n"] == blobs.count():
+        return blobs.withColumn("todo", F.array(*map(F.lit, sets[0]["todo"])))
+    return blobs.join(lacking, "blob")
+
+
 def find(df: DataFrame, text_col: str = "text", rules=RULES, store: str | None = None) -> DataFrame:
     """Findings of all ``rules`` in the texts of ``df`` (and in others of the store).
 
     With a ``store`` (or the setting STORE) only the blob and rule version pairs that its
-    ledger does not list are scanned; ledger and findings are appended to, and the findings
-    of earlier runs by the same rule versions are read back.  Findings are written first: a
-    run that ends in between is scanned again, and equal findings count once."""
+    ledger does not list are scanned; texts, findings and ledger are appended to, in this
+    order, and the findings of earlier runs by the same rule versions are read back.  A run
+    that ends in between is scanned again, and equal findings count once."""
     spark = df.sparkSession
     store = store or spark.conf.get(STORE, None)
     if store is None:
         return scan(new_blobs(df, text_col, None, rules), rules)
-    done, found = f"{store}/ledger", f"{store}/findings"
-    todo = new_blobs(df, text_col, _stored(spark, done, "blob string, rule string"), rules)
+    add_blobs(df, store, text_col)
+    todo = unscanned(spark, store, rules)
     keys, kinds = (F.array(*(F.lit(x) for x in xs))
                    for xs in ([r.key for r in rules], [r.kind for r in rules]))
     scan(todo, rules).select("blob", F.get(keys, F.col("ord")).alias("rule"), "start", "end") \
-        .write.mode("append").parquet(found)
-    scanned(todo).write.mode("append").parquet(done)
-    x = _stored(spark, found, "blob string, rule string, start long, end long")
+        .write.mode("append").parquet(f"{store}/findings")
+    scanned(todo).write.mode("append").parquet(f"{store}/ledger")
+    x = _stored(spark, f"{store}/findings", FINDINGS)
     place = (F.array_position(keys, F.col("rule")) - 1).cast("int")
     return x.withColumn("ord", place).filter("ord >= 0").select(
         "blob", F.get(kinds, F.col("ord")).alias("kind"), "ord", "start", "end")
@@ -216,12 +257,14 @@ def secrets_of(df: DataFrame, findings: DataFrame, keep: list[str],
                text_col: str = "text") -> DataFrame:
     """Findings joined back to every path: the columns ``keep`` of each row of
     ``df`` and ``found`` (an empty array if none)."""
-    paths = df.select(*keep, blob_of(F.col(text_col)).alias("blob"),
-                      row_salt(df.select(*keep)).alias("_salt"))
+    kept = [quoted(c) for c in keep]
+    paths = df.select(F.struct(*kept).alias("_row"), blob_of(quoted(text_col)).alias("blob"),
+                      row_salt(df.select(*kept)).alias("_salt"))
     found = per_blob(findings).select("*", every_salt().alias("_salt"))
     none = F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string>>")
-    return paths.join(found, ["blob", "_salt"], "left").withColumn(
-        "found", F.coalesce("found", none)).drop("blob", "_salt")
+    return paths.join(found, ["blob", "_salt"], "left").select(
+        *(F.col("_row").getField(c).alias(c) for c in keep),
+        F.coalesce("found", none).alias("found"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -240,7 +283,7 @@ def redact(df: DataFrame, findings: DataFrame, text_col: str = "text",
     one); a text without findings is left as it is.  Sets ``n_chars`` anew if
     there is such a column."""
     cols = df.columns
-    x = df.select(F.struct(*cols).alias("_row"), blob_of(F.col(text_col)).alias("_blob"),
+    x = df.select(F.struct(*map(quoted, cols)).alias("_row"), blob_of(quoted(text_col)).alias("_blob"),
                   row_salt(df, (text_col,)).alias("_salt"))
     found = per_blob(findings)
     # Of overlapping spans, one that starts inside an earlier one adds its tail only.
@@ -255,13 +298,13 @@ def redact(df: DataFrame, findings: DataFrame, text_col: str = "text",
     ).alias("_cuts")).select("*", every_salt().alias("_salt"))
     x = x.join(found, ["_blob", "_salt"], "left")
     row, cuts = F.col("_row"), F.col("_cuts")
-    t = row[text_col]
+    t = row.getField(text_col)
     kept = F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda i: F.substring(
         t, (F.when(i > 0, F.get(cuts, i - 1)["end"]).otherwise(0) + 1).cast("int"),
         (F.coalesce(F.get(cuts, i)["start"], F.char_length(t).cast("long"))
          - F.when(i > 0, F.get(cuts, i - 1)["end"]).otherwise(0)).cast("int")))
     new = F.when(cuts.isNull(), t).otherwise(F.array_join(kept, mark))
-    out = {c: row[c] for c in cols}
+    out = {c: row.getField(c) for c in cols}
     out[text_col] = new
     if "n_chars" in out:
         out["n_chars"] = F.when(cuts.isNull(), row["n_chars"]).otherwise(
