@@ -6,11 +6,15 @@ output is compared with the one before: what it adds is the new turn's span.
 An output that does not start with the one before rewrites history and is
 reported (``rewrites``: turns at which that happens).
 
-A conversation of any length is cut into blocks of ``block_turns`` turns, each
-rendered behind its ``context_turns`` turns before, so a block's work and memory
-are bounded and one conversation spreads over many tasks.  Each block is also
-rendered behind one turn more; if a turn adds something else then, the template
-needs more context than it is given and the turn counts as a rewrite too.
+A conversation of any length is cut into blocks of ``block_turns`` turns, so a
+block's work and memory are bounded and one conversation spreads over many tasks.
+A block is rendered behind the conversation's leading system turns and its
+``context_turns`` turns before.  To find templates that need more, the whole block
+is also rendered behind 4, 8, 16 ... up to ``block_turns`` turns before and behind the
+conversation's first ``first_turns`` turns: where it adds something else then, its
+turns are compared one by one, and those that differ count as rewrites.  What stays
+undetected is a dependence only on turns that are neither among the first ones nor
+among the ``block_turns`` before the block.
 
 The template that is given here marks turns and escapes control strings:
 a backslash is doubled and ``<|`` in a text becomes ``<\\|``, so no text can
@@ -65,7 +69,9 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 class Format:
     block_turns: int = 32
     context_turns: int = 2
+    first_turns: int = 8         # of the conversation, compared with; leading system turns among
     trained_role: str = "assistant"
+    system_role: str = "system"
 
 
 def turn_spans(messages: list[dict], context: int, template: Template,
@@ -118,12 +124,13 @@ def format_conversations(conversations: DataFrame, f: Format = Format(),
         "conv_id", F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     kind = rows.schema["conv_id"].dataType.simpleString()
-    n, c = f.block_turns, f.context_turns + 1  # one more, for the comparison
+    n = f.block_turns
     x = _ranked(rows, 8 * n)
     block = F.floor(F.col("at") / n)
-    # A block's last turns are the next one's context.
-    blocks = F.when((F.col("at") % n >= n - c) & (block < F.floor((F.col("n_turns") - 1) / n)),
-                    F.array(block, block + 1)).otherwise(F.array(block))
+    last = F.floor((F.col("n_turns") - 1) / n)
+    # A block is the next one's context; the first turns are every block's.
+    blocks = F.when(F.col("at") < f.first_turns, F.sequence(block, last)).otherwise(
+        F.sequence(block, F.least(block + 1, last)))
     x = x.select("conv_id", F.explode(blocks).alias("block"), "at", "role", "text")
     pair = "array<struct<start:long,end:long>>"
     schema = f"conv_id {kind}, block long, first long, formatted string, spans {pair}, " \
@@ -134,12 +141,33 @@ def format_conversations(conversations: DataFrame, f: Format = Format(),
         messages = [{"role": r, "content": b} for r, b in zip(
             t.column("role").to_pylist(), t.column("text").to_pylist(), strict=True)]
         number = t.column("block")[0].as_py()
-        own = int(np.sum(t.column("at").to_numpy() < number * n))  # turns of context
-        def behind(context):
-            return turn_spans(messages[own - context:], context, template, f.trained_role)
-        out, spans, loss, bad = behind(min(own, f.context_turns))
-        if own > f.context_turns:  # behind more context: the same additions?
-            more, places, _, worse = behind(f.context_turns + 1)
+        at = t.column("at").to_numpy()
+        begin = number * n
+        own = messages[int(np.searchsorted(at, begin)):]
+        lead = 0
+        while lead < min(f.first_turns, begin) and messages[lead]["role"] == f.system_role:
+            lead += 1
+
+        def context(before, first=0):
+            """The leading system turns, the first ones and those right before the block."""
+            return [m for m, k in zip(messages, at, strict=True)
+                    if k < begin and (k < max(lead, first) or k >= begin - before)]
+
+        def behind(some):
+            return turn_spans([*some, *own], len(some), template, f.trained_role)
+        base = context(f.context_turns)
+        out, spans, loss, bad = behind(base)
+        steps = [2 ** k for k in range(2, 63) if 2 ** k < n] + [n]
+        others = [context(k) for k in steps] + [context(f.context_turns, f.first_turns)]
+        seen = [base]
+        for some in others:
+            if some in seen:
+                continue
+            seen.append(some)
+            before, whole = template(some) if some else "", template([*some, *own])
+            if whole.startswith(before) and whole[len(before):] == out:
+                continue
+            more, places, _, worse = behind(some)
             bad = sorted({*bad, *worse, *(k for k, (p, q) in enumerate(
                 zip(spans, places, strict=True)) if out[slice(*p)] != more[slice(*q)])})
 
