@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludeme.llm.text import squeezed, words_of
+from ludeme.llm.text import quoted, squeezed, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -70,7 +70,7 @@ def _covered(hits: Column) -> Column:
 
 def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the id and the columns of ``MEASURES``."""
-    d = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    d = df.select(quoted(id_col), F.coalesce(quoted(text_col), F.lit("")).alias("_t"))
     d = d.withColumn("_w", words_of(F.col("_t")))
     d = d.withColumn("_lines", F.filter(
         F.split("_t", "\n"), lambda x: F.char_length(squeezed(x)) > 0))
@@ -93,7 +93,7 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # moved below it with all steps spelled out for every word.
     zero = F.shiftright(F.monotonically_increasing_id(), 63)
     return d.select(
-        id_col,
+        quoted(id_col),
         F.size("_w").cast("long").alias("n_words"),
         F.char_length(squeezed(t)).cast("long").alias("word_chars"),
         _without(t, SYMBOLS).cast("long").alias("n_symbols"),
@@ -142,5 +142,7 @@ def keep_good(df: DataFrame, policy: Policy = WEB, id_col: str = "doc_id",
 
     The verdict is attached row by row, not by a join, so repeated and null ids
     keep their own verdicts."""
-    packed = df.select(F.struct(*df.columns).alias("_row"), F.col(text_col).alias("_text_"))
-    return apply_policy(ledger(packed, "_row", "_text_"), policy).filter("kept").select("_row.*")
+    packed = df.select(F.struct(*map(quoted, df.columns)).alias("_row"),
+                       quoted(text_col).alias("_text_"))
+    kept = apply_policy(ledger(packed, "_row", "_text_"), policy).filter("kept")
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))

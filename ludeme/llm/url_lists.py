@@ -14,7 +14,8 @@ each with a copy of the intervals, and Spark splits what is still large.
 Defined cases: a null or unparsable URL has no keys and is kept with no entry; a
 null fetch time matches nothing; an entry without a time or key never holds; of
 entries of one time for one list and key the removal comes first; repeated rows
-each get the verdict; an empty list keeps all; other columns are ignored.
+each get the verdict; an empty list keeps all; other columns are passed on, but for
+those named as the verdict's, which it replaces.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludeme.llm.text import every_salt, hex_number, row_salt
+from ludeme.llm.text import every_salt, hex_number, quoted, row_salt
 
 NO_END = (1 << 62)
 BLOCK, ALLOW = "block", "allow"
@@ -62,8 +63,9 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url",
           time_col: str = "fetched_at") -> DataFrame:
     """``captures`` with n_block, n_allow (active entries), decided_by (the
     deciding key, null if none) and kept."""
-    url, at = F.col(url_col), F.col(time_col)
-    once = captures.select(url.alias("_u"), at.alias("_at")).distinct()
+    x = captures.select(quoted(url_col).alias("_u"), quoted(time_col).alias("_at"),
+                        F.struct(*map(quoted, captures.columns)).alias("_row"))
+    once = x.select("_u", "_at").distinct()
     k = once.select("_u", "_at", F.explode(keys_of(F.col("_u"))).alias("k")) \
         .select("_u", "_at", F.col("k.key").alias("key"), F.col("k.depth").alias("depth"),
                 row_salt(once).alias("_salt"))
@@ -74,13 +76,12 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url",
     verdict = hit.groupBy("_u", "_at").agg(
         F.count(F.when(F.col("list") == BLOCK, 1)).alias("n_block"),
         F.count(F.when(F.col("list") == ALLOW, 1)).alias("n_allow"), top)
-    x = captures.join(verdict, url.eqNullSafe(F.col("_u")) & at.eqNullSafe(F.col("_at")), "left")
-    return x.select(
-        *(captures[c] for c in captures.columns),
-        F.coalesce("n_block", F.lit(0)).alias("n_block"),
-        F.coalesce("n_allow", F.lit(0)).alias("n_allow"),
-        F.col("top.key").alias("decided_by"),
-        F.coalesce("top.allow", F.lit(True)).alias("kept"))
+    y = x.alias("x").join(verdict.alias("v"), F.col("x._u").eqNullSafe(F.col("v._u"))
+                          & F.col("x._at").eqNullSafe(F.col("v._at")), "left")
+    added = {"n_block": F.coalesce("v.n_block", F.lit(0)), "n_allow": F.coalesce("v.n_allow", F.lit(0)),
+             "decided_by": F.col("v.top.key"), "kept": F.coalesce("v.top.allow", F.lit(True))}
+    return y.select(*(F.col("x._row").getField(c).alias(c) for c in captures.columns
+                      if c.lower() not in added), *(c.alias(n) for n, c in added.items()))
 
 
 DAY, SPAN = 86_400, 366
