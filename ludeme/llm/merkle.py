@@ -32,16 +32,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludeme.llm.text import quoted
 from ludeme.plans.session import materialize
 
 FAN = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
-def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def encoded(value: Column) -> Column:
     """``-`` for null, else UTF-8 byte count, ``:``, value."""
     text = value.cast("string")
@@ -173,7 +170,8 @@ def manifest(df: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc
     rows = df.select(group_key(quoted(group_col)).alias("grp"), quoted(id_col).alias("_id"),
                      leaf_of([quoted(c) for c in fields]).alias("digest"),
                      *(c.alias(n) for n, c in carry.items()))
-    leaves = materialize(ranked(rows, ["_id", "digest"], "leaves"), "ranked")
+    # Written before they are sorted: the sort reads its input twice, and texts are long.
+    leaves = materialize(ranked(materialize(rows, "digests"), ["_id", "digest"], "leaves"), "ranked")
     trees = grow(leaves, "tree")
     tops = trees.tops.select(F.lit("").alias("grp"), F.col("grp").alias("group"), "digest")
     subroots = materialize(ranked(tops, ["group"], "subroots"), "ranked-subroots")
