@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ludeme.llm.secrets import BASE_RULES, CLOSE, OPEN, OTHER
 from ludeme.llm.url_lists import DAY, EPOCH, NO_END, SPAN
 
 #: Vectors become integers; every query against every other row.  Doubles hold
@@ -184,6 +185,118 @@ SELECT doc_id, leaf, subroot, u.g AS root, sha256(proof) AS proof_sha256, acc AS
   acc = u.g AS verified FROM h{source_levels} h, u{source_levels} u"""
 
 
+#: Targets by filling up the sources in the order in which they reach their cap; every
+#: quotient of every shard, ranked; and the overlap of each document with its shard's runs.
+SOURCE_MIX = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, md5('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS n_docs,
+    3 * sum(size)::BIGINT AS most FROM d GROUP BY source),
+w AS (
+  SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+    sum(source_size) OVER ()::BIGINT AS total FROM per),
+f AS (
+  SELECT *, sum(weight) OVER () AS weights, coalesce(sum(most) OVER o, 0) AS gone,
+    coalesce(sum(weight) OVER o, 0) AS passed FROM w
+  WINDOW o AS (ORDER BY most / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, most <= (total - gone)::DOUBLE / (weights - passed) * weight AS capped FROM f),
+t AS (
+  SELECT *, CASE WHEN capped THEN most::DOUBLE ELSE
+    (total - coalesce(sum(most) FILTER (capped) OVER (), 0))::DOUBLE
+    / (weights - coalesce(sum(weight) FILTER (capped) OVER (), 0)) * weight END AS target FROM g),
+s AS (
+  SELECT *, greatest(1, least(ceil(n_docs / 4000), floor(target)))::BIGINT AS n_shards FROM t),
+ds AS (
+  SELECT d.*, source_size, target, total, {_HEX.format('h', 1)} % n_shards AS shard
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+sh AS (
+  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(total) AS total,
+    CASE WHEN max(source_size) = 0 THEN 0 ELSE max(target) * sum(size)::BIGINT / max(source_size) END
+      AS votes,
+    ('0x' || substr(md5(concat_ws(':', 'start:42', source, shard::VARCHAR)), 1, 15))::BIGINT AS digest
+  FROM ds GROUP BY source, shard),
+b AS (SELECT *, CASE WHEN votes >= 2048 THEN 32 ELSE 1 END AS block FROM sh),
+q AS (
+  SELECT source, shard, block, row_number() OVER (PARTITION BY block
+      ORDER BY votes / (2 * j - 1) DESC, digest, source NULLS LAST, shard) AS place
+  FROM (SELECT *, unnest(range(1, (3 * shard_size) // block + 1)) AS j FROM b) WHERE votes > 0),
+large AS (
+  SELECT q.source, q.shard, count(*) AS quota FROM q WHERE block = 32
+    AND place <= (SELECT floor(sum(votes) / 32 + 0.5) FROM b WHERE block = 32) GROUP BY ALL),
+quotas AS (
+  SELECT * FROM large UNION ALL
+  SELECT source, shard, count(*) FROM q WHERE block = 1
+    AND place <= (SELECT floor(sum(votes) + 0.5) FROM b WHERE block = 1) GROUP BY ALL),
+plan AS (
+  SELECT b.*, coalesce(quota, 0) * block AS words,
+    digest % greatest(ceil(shard_size / block), 1)::BIGINT * block AS a,
+    greatest(shard_size, 1) AS whole
+  FROM b LEFT JOIN quotas q ON b.source IS NOT DISTINCT FROM q.source AND b.shard = q.shard),
+x AS (
+  SELECT ds.*, words, a, whole, a + words % whole AS z, sum(size) OVER (
+      PARTITION BY ds.source, ds.shard ORDER BY h, doc_id NULLS FIRST, size
+      ROWS UNBOUNDED PRECEDING) - size AS p
+  FROM ds JOIN plan ON ds.source IS NOT DISTINCT FROM plan.source AND ds.shard = plan.shard)
+SELECT doc_id, size, source_size, target, (words // whole * size
+    + greatest(0, least(least(z, whole) - p, size) - least(greatest(a - p, 0), size))
+    + greatest(0, least(z - whole - p, size) - least(greatest(0 - p, 0), size)))::BIGINT AS taken
+FROM x
+"""
+
+#: All pairs that share a shingle, and everything that a document reaches over links.
+JACCARD_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT rid, unnest(list_distinct(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM d),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid
+  GROUP BY a.rid, b.rid),
+l AS (
+  SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y
+  WHERE 100 * i >= 75 * (a.n + b.n - i)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT rid, rid AS other FROM d UNION SELECT r.rid, e.y FROM r JOIN e ON r.other = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d JOIN r ON d.rid = r.rid JOIN d o ON r.other = o.rid LEFT JOIN n ON d.rid = n.rid
+GROUP BY d.rid, d.doc_id, n.n
+"""
+
+
+def _spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """Matches of a pattern: marked, cut at the marks, and placed by the pieces' lengths."""
+    pattern = pattern.replace("'", "''")
+    return rf"""
+  SELECT rid, '{kind}' AS kind, {order} AS ord, p AS "start", p + length(m) AS "end" FROM (
+    SELECT rid, i, split_part(piece, '{CLOSE}', 1) AS m, sum(length(piece) - (i > 1)::INT) OVER (
+      PARTITION BY rid ORDER BY i) - (length(piece) - (i > 1)::INT) AS p FROM (
+      SELECT rid, unnest(k) AS piece, generate_subscripts(k, 1) AS i FROM (
+        SELECT rid, string_split(regexp_replace(t, '{pattern}', '{OPEN}\0{CLOSE}', 'g'), '{OPEN}') AS k
+        FROM d)))
+  WHERE i > 1 AND length(regexp_extract(m, '{pattern}', {group})) >= {least}"""
+
+
+SECRETS_BASE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    translate(coalesce(text, ''), '{OPEN}{CLOSE}', '{OTHER}{OTHER}') AS t FROM documents),
+f AS ({" UNION ALL ".join(_spans(r.kind, i, r.pattern, r.group, r.least)
+                          for i, r in enumerate(BASE_RULES))})
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+  count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(concat_ws(':', kind, "start"::BIGINT, "end"::BIGINT), ','
+                             ORDER BY "start", ord), '')) AS base_sha256
+FROM d LEFT JOIN f USING (rid) GROUP BY rid, doc_id
+"""
+
 #: Every window with the smallest document that it starts in.
 SUBSTRINGS = r"""
 WITH d AS (
@@ -207,6 +320,9 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_lists": URL_LISTS,
     "op6_exact_top_k": TOP_K,
     "op7_quality_rules": QUALITY,
+    "op8_source_mix": SOURCE_MIX,
+    "op9_ngram_jaccard_join": JACCARD_JOIN,
+    "op10_base_spans": SECRETS_BASE,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op12_merkle_manifest": _merkle(),
     "op13_substring_dedup": SUBSTRINGS,
