@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ludeme.llm import jaccard_join, mixing, packing, quality, secrets
-from ludeme.plans.session import materialize
+from ludeme.plans.session import materialize, scratch_path
 
 ORACLE_SQL = None
 
@@ -36,7 +36,8 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs, materialize(secrets.find(docs), "findings"))
+    store = spark.conf.get(secrets.STORE, None) or scratch_path(spark, "secrets")
+    return secrets.redact(docs, materialize(secrets.find(docs, store=store), "findings"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
