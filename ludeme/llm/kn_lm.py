@@ -52,7 +52,7 @@ END = hash_words(["\n"])[0]  # no word holds a line end
 
 @dataclass(frozen=True)
 class Training:
-    order: int = 2               # words of the longest grams
+    order: int = 3               # words of the longest grams
     folds: int = 7
     held_out: int = 2            # texts of this fold are not learned from
     slice_bytes: int = 8 << 20   # of text, counted at once; scored in halves
@@ -290,17 +290,21 @@ class Model:
         return place, count
 
     def grams(self, level: int, place: np.ndarray, first: np.ndarray):
-        """Of the tokens, with the places of the grams of ``level`` - 1 that end there: the
-        place of the gram before, which tokens have both, and their distinct numbers with
-        the way back."""
+        """Of the tokens, with the places of the grams of ``level`` - 1 that end there: which have
+        a gram before too, and with it their distinct numbers with the way back."""
         start = self.vocabulary if level == 2 else -1
         left = np.append(start, place[:-1])
         left[first] = start
+        return self.paired(level, left, place)
+
+    def paired(self, level: int, left: np.ndarray, place: np.ndarray):
+        """Which pairs of places are both known, their distinct numbers as grams of ``level`` and
+        the way back."""
         ask = (left >= 0) & (place >= 0)
         half = self.half(level)
         h = _spread((left[ask].astype(np.uint64) << np.uint64(half))
                     | place[ask].astype(np.uint64), half)
-        return left, ask, *np.unique(h, return_inverse=True)
+        return ask, *np.unique(h, return_inverse=True)
 
     def contexts(self, level: int, places: np.ndarray) -> np.ndarray:
         """Rows (total, N1, N2, N3+, predecessors) of sorted places of ``level``."""
@@ -419,10 +423,10 @@ def _counted(source: DataFrame, m: Model, level: int, t: Training) -> DataFrame:
                 first, _, tokens, h = _sequences(part)
                 place = m.look_up(1, h)[0][tokens]
                 for k in range(2, level):
-                    _, ask, keys, back = m.grams(k, place, first)
+                    ask, keys, back = m.grams(k, place, first)
                     place = np.full(len(place), -1, np.int64)
                     place[ask] = m.look_up(k, keys)[0][back]
-                _, _, keys, back = m.grams(level, place, first)
+                _, keys, back = m.grams(level, place, first)
                 yield _shipped(_by_shard(keys, np.bincount(back, minlength=len(keys)), m.shards,
                                          2 * m.half(level)))
     return source.mapInArrow(run, "shard long, blob binary")
@@ -507,25 +511,44 @@ def _store_contexts(m: Model, level: int):
     return run
 
 
+def _context_rows(m: Model, level: int, place: np.ndarray) -> np.ndarray:
+    """Columns (total, N1, N2, N3+, predecessors) of places in order, -1 having none; and a last
+    column of none, which the index -1 finds."""
+    out = np.zeros((5, len(place) + 1), np.int64)
+    known = np.flatnonzero(place >= 0)
+    out[:, known] = m.contexts(level, place[known]).T
+    return out
+
+
 def _score_slice(part: pa.RecordBatch, m: Model):
     first, n, tokens, h = _sequences(part)
     word, count = m.look_up(1, h)
     known = (word >= 0)[tokens]
     base = m.base_log(count)[tokens]
-    own, back = np.unique(np.maximum(word, 0), return_inverse=True)
-    before = np.where(word >= 0, m.contexts(1, own)[back, 4], 0)
-    p, place = m.lower_probability(before)[tokens], word[tokens]
+    # Of each level, the slice's distinct grams: their places and what they are as contexts; and
+    # which of them ends at each token (-1: none).  Words come in order of their places, as do
+    # grams; the begin mark comes last.
+    places = np.append(word, m.vocabulary)
+    rows = _context_rows(m, 1, places)
+    own = tokens
+    p = m.lower_probability(rows[4, own])
     for level in range(2, m.order + 1 if m.tokens else 2):
-        left, ask, keys, back = m.grams(level, place, first)
-        own, at = np.unique(np.maximum(left, 0), return_inverse=True)
-        total, n1, n2, n3 = np.where(left >= 0, m.contexts(level - 1, own)[at, :4].T, 0)
-        place, number = np.full(len(p), -1, np.int64), np.zeros(len(p), np.int64)
+        before = np.append(-1, own[:-1])
+        before[first] = len(word) if level == 2 else -1
+        total, n1, n2, n3 = rows[:4, before]
+        known_places = np.append(places, -1)
+        ask, keys, back = m.paired(level, known_places[before], known_places[own])
         found, counts = m.look_up(level, keys)
-        place[ask], number[ask] = found[back], counts[back]
+        number = np.zeros(len(p), np.int64)
+        number[ask] = counts[back]
         d = np.array(m.discounts[level])
         some = np.maximum(total, 1)
         rest = (d[1] * n1 + d[2] * n2 + d[3] * n3) / some
         p = np.where(total > 0, (number - d[np.minimum(number, 3)]) / some + rest * p, p)
+        if level < m.order:
+            places, rows = found, _context_rows(m, level, found)
+            own = np.full(len(p), -1, np.int64)
+            own[ask] = np.where(found >= 0, np.arange(len(found)), -1)[back]
     score = np.log10(p)
 
     def per_text(x):
