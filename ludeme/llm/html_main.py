@@ -170,7 +170,7 @@ def parse(page: str) -> list[Token]:
         if n < len(stack):
             opened(n)
         far = 2 if apart else _set_apart(name, m[4] or m[7] or "", inside)
-        if far == 2 and not apart:
+        if far == 2 and not apart and name not in MATH:
             out.append(Token(BREAK, "", inside))
         apart = apart or far == 2
         if name == "form" and not apart and not any(e[0] == "form" for e in stack):
