@@ -185,6 +185,17 @@ def test_same_model_on_any_number_of_cores_needs_blocks_from_rows():
     assert sized(ALSParams(num_blocks=7), 10).item_blocks == 7
 
 
+def test_item_blocks_stay_few_and_leave_the_model_as_it_is(prep):
+    few = [sized(LOG_PARAMS, n) for n in (360_000, 3_600_000, 21_600_000, 100_000_000)]
+    assert [p.num_blocks for p in few] == [4, 36, 216, 1000]
+    assert [p.item_blocks for p in few] == [4, 8, 8, 25]
+    one, many = (fit_als(prep.train, LOG_PARAMS.with_(num_blocks=4, item_blocks=b)) for b in (1, 4))
+    for a, b in ((one.userFactors, many.userFactors), (one.itemFactors, many.itemFactors)):
+        a, b = ({r["id"]: r["features"] for r in x.collect()} for x in (a, b))
+        assert set(a) == set(b)
+        assert all(b[i] == pytest.approx(v, rel=1e-3, abs=1e-4) for i, v in a.items())
+
+
 # ------------------------------------------------------------------ cold start, splits
 
 def test_cold_split_has_cold_rows(spark):
