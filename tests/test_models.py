@@ -302,3 +302,23 @@ def test_lineitem_row_key_is_unique(spark):
     from ludeme.sources.interactions import lineitem_log
     rows = lineitem_log(spark, "/root/testdata/sf0.01")
     assert rows.count() == rows.select("event_id").distinct().count()
+
+
+def test_lineitem_log_deals_more_lines_to_more_tasks(spark, tmp_path, monkeypatch):
+    from ludeme.sources import interactions
+    lines = [(i // 4 if i % 10 else None, i % 7, 1 + i % 2, float(i % 3)) for i in range(400)]
+    orders = [(k, 1000 + k % 9) for k in range(90)] + [(5, 77), (None, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(interactions, "LINE_ROWS", 10, raising=False)
+    rows = interactions.lineitem_log(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() >= 40
+    got = sorted(rows.select("event_id", "member_id", "game", "value").collect())
+    joined = sorted((*x, c) for x in lines for k, c in orders if x[0] is not None and x[0] == k)
+    want, n = [], {}
+    for k, p, line, q, c in joined:
+        n[k, p, line, q] = i = n.get((k, p, line, q), 0) + 1
+        want.append((f"{k}-{line}-{p}-{q}-{i}", c, f"part-{p}", q))
+    assert [tuple(r) for r in got] == sorted(want)
