@@ -4,6 +4,8 @@ filters and stored splits.  Results against brute force, plans against what they
 
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.recommendation import ALSModel
@@ -275,6 +277,17 @@ def test_run_resumes_where_it_broke(spark, prep, tmp_path, monkeypatch):
     assert ledger.rows().filter("run_id = 'r2'").count() == 1
 
 
+def test_two_fits_run_at_once_however_many_blocks_a_fit_has(prep, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    def fit(train, p, rows=None):
+        both.wait()     # breaks if the other fit starts only when this one has ended
+        return fit_als(train, p.with_(num_blocks=1, item_blocks=1), rows)
+    monkeypatch.setattr(tune, "fit_als", fit)
+    grid = tune.param_grid(LOG_PARAMS.with_(num_blocks=1000), ranks=(2, 3), regs=(0.1,), iters=(1,))
+    assert tune.tune(prep.train, prep.test, grid, rows=prep.rows).trials.count() == 2
+
+
 def test_trials_scored_in_one_pass(spark, prep, model):
     other = fit_als(prep.train, LOG_PARAMS.with_(rank=4), rows=prep.rows)
     extra = spark.createDataFrame([(10_000, 0, 1.0), (0, 10_000, 1.0)],
